@@ -79,7 +79,7 @@ def holdout_linear(yearly: DataFrame, category: str, min_points: int = 4, year:
     joined = fit.join(t, on=category, how="inner")
     pred = _predict(F.col("test_year"))
     err = F.round(F.abs(F.col("actual") - pred), 4)
-    return joined.select(category, "test_year", "actual", pred.alias("linear_pred"),
+    return joined.select(category, "test_year", "actual", F.round(pred, 4).alias("linear_pred"),
                          err.alias("linear_mae"), err.alias("linear_rmse"))
 
 
@@ -154,8 +154,8 @@ def model_selection(yearly: DataFrame, category: str, min_points: int = 4, year:
              .applyInPandas(_arima_group(category, year, count),
                             schema=f"`{category}` {cat_type}, arima_pred double"))
     j = lin.join(arima, on=category, how="left")
-    pred = F.coalesce(F.col("arima_pred"), F.col("linear_pred"))
-    a_err = F.round(F.abs(F.col("actual") - pred), 4)
+    # A failed fit takes the linear prediction, hence exactly the linear errors.
+    a_err = F.coalesce(F.round(F.abs(F.col("actual") - F.col("arima_pred")), 4), F.col("linear_rmse"))
     out = j.select(category, "linear_mae", "linear_rmse", a_err.alias("arima_mae"),
                    a_err.alias("arima_rmse"))
     return out.withColumn("selected_model", F.when(F.col("arima_rmse") < F.col("linear_rmse"), "ARIMA")

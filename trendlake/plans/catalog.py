@@ -11,11 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlake.functions import join_text
 from trendlake.operators import aggregate as agg
+from trendlake.operators import forecast as fc
+from trendlake.operators import ingest as ing
 from trendlake.operators import prepare as prep
+from trendlake.operators.features import features
+from trendlake.operators.quality import quality_report
 from trendlake.operators.window import yoy_growth
-from trendlake.plans.tables import (LINEITEM, LINEITEM_BRAND, ORDERS, PART, lineitem_with_tags,
-                                    part_with_tags, table)
+from trendlake.plans.tables import (DOCUMENTS, EVENTS, LINEITEM, LINEITEM_BRAND, ORDERS, PART,
+                                    lineitem_with_tags, part_with_tags, table)
+from trendlake.sources.upsert import upsert, upsert_stats
 
 # Fixed parameters of the catalogue queries.
 TARGET_TAGS = ("red", "hot", "gear")
@@ -29,6 +35,18 @@ FILTER_TAGS = ("red", "blue", "gear", "anvil")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 ANOMALY_Q = 0.9
 ANOMALY_N = 10
+FEATURES_AS_OF = "2002-01-01 00:00:00"
+DOC_EXPECTED = ("doc_id", "text", "lang", "source", "quality", "toxic", "url")
+LABEL_FLAGS = ("quality", "toxic")
+INCREMENTAL_MARK = "2001-06-15T10:30:00Z"
+SLICE_MIN = 100000
+BACKFILL_YEARS = (1996, 1998)
+TOP_PER_YEAR = 100
+FORECAST_YEARS = (2002, 2003)
+UPSERT_TARGET_BEFORE = "1999-01-01 00:00:00"
+UPSERT_BATCH_FROM = "1998-01-01 00:00:00"
+UPSERT_STALE_FROM = "2000-01-01 00:00:00"
+INGESTED_AT = "2024-01-01 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,14 +156,124 @@ def q_growth_pivot(spark, d):
 
 def q_growth_anomalies(spark, d):
     g = prep.filter_growth(orders_growth(spark, d), ORDERS.category, years=GROWTH_YEARS)
-    from trendlake.operators.forecast import growth_anomalies
-    return growth_anomalies(g, ORDERS.category, q=ANOMALY_Q, n=ANOMALY_N)
+    return fc.growth_anomalies(g, ORDERS.category, q=ANOMALY_Q, n=ANOMALY_N)
 
 
 def q_leader(spark, d):
     return agg.leader(part_totals(spark, d), part_tag_stats(spark, d), PART.category)
 
 
+# --- 2.10 features and quality ---------------------------------------------
+
+def documents_labeled(spark, d):
+    """documents left-joined to labels (``quality`` null for unlabelled)."""
+    return table(spark, d, "documents").join(table(spark, d, "labels"), on="doc_id", how="left")
+
+
+def documents_tagged(spark, d):
+    """documents with ``tags`` = names of the label flags set to 1."""
+    tags = ing.label_tags(table(spark, d, "labels"), "doc_id", LABEL_FLAGS)
+    return ing.enrich_tags(table(spark, d, "documents"), tags, "doc_id", tags_col="tags")
+
+
+def q_features(spark, d):
+    base = prep.base_table(table(spark, d, "lineitem"), LINEITEM)
+    return features(base, LINEITEM, as_of=FEATURES_AS_OF)
+
+
+def q_quality_report(spark, d):
+    return quality_report(documents_labeled(spark, d), expected=DOC_EXPECTED, key="doc_id",
+                          category="quality")
+
+
+def q_text_build(spark, d):
+    docs = documents_tagged(spark, d)
+    return docs.select("doc_id", join_text(DOCUMENTS.name, DOCUMENTS.description, "tags").alias("text_all"))
+
+
+# --- 2.2 ingest shaping ------------------------------------------------------
+
+def q_flatten_items(spark, d):
+    ev = table(spark, d, "events")
+    mapping = {"id": "event_id", "name": F.concat(F.lit("user-"), F.col("user_id").cast("string")),
+               "language": "event_type", "stars": "value",
+               "forks": F.get_json_object("props", "$.k").try_cast("long"), "created_at": "ts", "updated_at": "ts"}
+    return ing.flatten_items(ev, mapping)
+
+
+def q_dedupe_first(spark, d):
+    return ing.dedupe_first(table(spark, d, "events"), "user_id", ["ts"])
+
+
+def q_top_n_per_year(spark, d):
+    return ing.top_n_per_year(table(spark, d, "orders"), ORDERS, TOP_PER_YEAR)
+
+
+def q_incremental_slice(spark, d):
+    return ing.incremental_slice(table(spark, d, "orders"), ORDERS, INCREMENTAL_MARK, SLICE_MIN)
+
+
+def q_backfill_slice(spark, d):
+    return ing.backfill_slice(table(spark, d, "orders"), ORDERS, BACKFILL_YEARS[0], BACKFILL_YEARS[1],
+                              SLICE_MIN)
+
+
+def q_enrich_tags(spark, d):
+    return documents_tagged(spark, d).select("doc_id", "lang", "source", "n_chars", "tags")
+
+
+def upsert_inputs(spark, d):
+    """target = orders before 1999; batch = orders from 1998 with a new status
+    and price, plus stale (30 days older) copies of the orders from 2000 that
+    must lose against the fresh rows.  Together they cover the whole table."""
+    o = table(spark, d, "orders")
+    ts = lambda v: F.lit(v).cast("timestamp_ntz")
+    target = o.where(F.col("o_orderdate") < ts(UPSERT_TARGET_BEFORE))
+    fresh = o.where(F.col("o_orderdate") >= ts(UPSERT_BATCH_FROM)).select(
+        "o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority")
+    stale = o.where(F.col("o_orderdate") >= ts(UPSERT_STALE_FROM)).select(
+        "o_orderkey", F.lit("X").alias("o_orderstatus"), "o_totalprice",
+        (F.col("o_orderdate") - F.expr("INTERVAL 30 DAYS")).alias("o_orderdate"), "o_orderpriority")
+    return target, fresh.unionByName(stale)
+
+
+def q_upsert(spark, d):
+    target, batch = upsert_inputs(spark, d)
+    return upsert(target, batch, "o_orderkey", "o_orderdate", INGESTED_AT)
+
+
+def q_upsert_stats(spark, d):
+    target, batch = upsert_inputs(spark, d)
+    return upsert_stats(target, batch, "o_orderkey", "o_orderdate")
+
+
+# --- forecasting --------------------------------------------------------------
+
+def orders_yearly(spark, d):
+    return agg.yearly_counts(orders_base(spark, d), ORDERS)
+
+
+def q_forecast(spark, d):
+    return fc.forecast(orders_yearly(spark, d), ORDERS.category, years=FORECAST_YEARS)
+
+
+def q_forecast_band(spark, d):
+    return fc.forecast_band(q_forecast(spark, d))
+
+
+def q_holdout_linear(spark, d):
+    return fc.holdout_linear(orders_yearly(spark, d), ORDERS.category, min_points=4)
+
+
+def q_model_selection(spark, d):
+    return fc.model_selection(orders_yearly(spark, d), ORDERS.category, min_points=4)
+
+
+def q_selection_summary(spark, d):
+    return fc.selection_summary(q_model_selection(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "yoy_growth": q_yoy_growth,
     "category_sum": q_category_sum,
@@ -167,4 +295,20 @@ QUERIES: dict[str, Query] = {
     "growth_pivot": q_growth_pivot,
     "growth_anomalies": q_growth_anomalies,
     "leader": q_leader,
+    "features": q_features,
+    "quality_report": q_quality_report,
+    "text_build": q_text_build,
+    "flatten_items": q_flatten_items,
+    "dedupe_first": q_dedupe_first,
+    "top_n_per_year": q_top_n_per_year,
+    "incremental_slice": q_incremental_slice,
+    "backfill_slice": q_backfill_slice,
+    "enrich_tags": q_enrich_tags,
+    "upsert": q_upsert,
+    "upsert_stats": q_upsert_stats,
+    "forecast": q_forecast,
+    "forecast_band": q_forecast_band,
+    "holdout_linear": q_holdout_linear,
+    "model_selection": q_model_selection,
+    "selection_summary": q_selection_summary,
 }
