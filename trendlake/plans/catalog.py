@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from trendlake.functions import join_text
 from trendlake.operators import aggregate as agg
+from trendlake.operators import cluster as cl
+from trendlake.operators import graph as gr
 from trendlake.operators import forecast as fc
 from trendlake.operators import ingest as ing
 from trendlake.operators import prepare as prep
@@ -47,6 +49,12 @@ UPSERT_TARGET_BEFORE = "1999-01-01 00:00:00"
 UPSERT_BATCH_FROM = "1998-01-01 00:00:00"
 UPSERT_STALE_FROM = "2000-01-01 00:00:00"
 INGESTED_AT = "2024-01-01 00:00:00"
+BETWEENNESS_K = 100
+GRAPH_SEED = 42
+CLUSTER_SEED = 42
+CLUSTER_RESTARTS = 10
+RUN_METRIC_OUTPUTS = ("yoy_growth", "category_year", "tag_stats", "long_report", "features",
+                      "forecast", "edges")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,6 +282,47 @@ def q_selection_summary(spark, d):
     return fc.selection_summary(q_model_selection(spark, d))
 
 
+# --- graph ---------------------------------------------------------------------
+
+def documents_graph_input(spark, d):
+    """documents as items: category = language, tags = [source]."""
+    return table(spark, d, "documents").select("doc_id", "lang", F.array("source").alias("tags"))
+
+
+def q_edges(spark, d):
+    return gr.build_edges(documents_graph_input(spark, d), DOCUMENTS)
+
+
+def q_degree_centrality(spark, d):
+    return gr.degree_centrality(q_edges(spark, d))
+
+
+def q_graph_metrics(spark, d):
+    return gr.graph_metrics(q_edges(spark, d), k=BETWEENNESS_K, seed=GRAPH_SEED)
+
+
+# --- clustering ------------------------------------------------------------------
+
+def q_text_clusters(spark, d):
+    docs = documents_tagged(spark, d)
+    docs = docs.withColumn("_text", join_text(DOCUMENTS.name, DOCUMENTS.description, "tags"))
+    feats = cl.text_features(docs.select("doc_id", "source", "lang", "n_chars", "_text"), "_text")
+    out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
+    return out.select("doc_id", "source", "lang", "n_chars", "cluster_id")
+
+
+def q_embedding_clusters(spark, d):
+    feats = cl.embedding_features(table(spark, d, "embeddings"), "embedding")
+    out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
+    return out.select("vec_id", "label", "cluster_id")
+
+
+# --- run metrics -------------------------------------------------------------------
+
+def q_run_metrics(spark, d):
+    return agg.run_metrics({name: QUERIES[name](spark, d) for name in RUN_METRIC_OUTPUTS})
+
+
 QUERIES: dict[str, Query] = {
     "yoy_growth": q_yoy_growth,
     "category_sum": q_category_sum,
@@ -311,4 +360,10 @@ QUERIES: dict[str, Query] = {
     "holdout_linear": q_holdout_linear,
     "model_selection": q_model_selection,
     "selection_summary": q_selection_summary,
+    "edges": q_edges,
+    "degree_centrality": q_degree_centrality,
+    "graph_metrics": q_graph_metrics,
+    "text_clusters": q_text_clusters,
+    "embedding_clusters": q_embedding_clusters,
+    "run_metrics": q_run_metrics,
 }
