@@ -11,32 +11,47 @@ lowest training cost.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.session import ensure_checkpoint_dir
+
 FEATURES = "features"
 
 
-def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 16,
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when the input has fewer partitions than task
+    slots (a small file of long texts is one scan split, but tokenising and
+    k-means are CPU-bound per row).  Large inputs keep their scan splits."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 14,
                   out_col: str = FEATURES) -> DataFrame:
-    """L2-normalised TF-IDF vector of ``text_col`` (whole text, no prefix)."""
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", minTokenLength=1),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol=out_col, p=2.0),
-    ])
-    return pipe.fit(df).transform(df).drop("_tokens", "_tf", "_tfidf")
+    """L2-normalised TF-IDF vector of ``text_col`` (whole text, no prefix).
+
+    Lazy apart from the IDF fit (one distributed document-frequency pass);
+    ``cluster`` persists the result for its k-means fits.
+    """
+    df = spread(df)
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", minTokenLength=1)
+    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    counts = tf.transform(tok.transform(df)).drop("_tokens", text_col)
+    idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts)
+    norm = Normalizer(inputCol="_tfidf", outputCol=out_col, p=2.0)
+    return norm.transform(idf.transform(counts)).drop("_tf", "_tfidf")
 
 
 def embedding_features(df: DataFrame, array_col: str, out_col: str = FEATURES) -> DataFrame:
     """C1 for precomputed embeddings: ``array<float>`` -> ML dense vector."""
-    return df.withColumn(out_col, array_to_vector(F.col(array_col)))
+    return spread(df).withColumn(out_col, array_to_vector(F.col(array_col)))
 
 
 def default_k(n: int) -> int:
@@ -46,25 +61,33 @@ def default_k(n: int) -> int:
 
 def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, seed: int = 42,
             restarts: int = 10, max_iter: int = 20, out_col: str = "cluster_id") -> DataFrame:
-    """K-means cluster id per row.
+    """K-means cluster id per row (all columns but the features kept).
 
-    The features are persisted (memory, spilling to disk) while the restarts
-    run and released before returning; the returned frame re-derives them
-    with map-only stages and assigns each row to the best model's centres.
+    The restarts (seeds ``seed .. seed + restarts - 1``) are submitted as
+    concurrent Spark jobs; the fit with the lowest training cost wins (ties:
+    lowest seed).  The features are persisted (memory, spilling to disk) only
+    while the fits run; the assignments are written with a reliable
+    ``checkpoint()`` before the cache is released, so the result neither
+    recomputes the features nor pins them in memory.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     feats = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = feats.count()
         k = k or default_k(n)
         k = max(1, min(k, n)) if n else 1
-        best = None
-        for i in range(max(1, restarts)):
+
+        def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col,
                            predictionCol=out_col).fit(feats)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
+            return model.summary.trainingCost, i, model
+
+        runs = max(1, restarts)
+        with ThreadPoolExecutor(max_workers=runs) as pool:
+            results = list(pool.map(fit, range(runs)))
+        best = min(results, key=lambda r: (r[0], r[1]))[2]
+        out = (best.transform(feats).withColumn(out_col, F.col(out_col).cast("int"))
+               .drop(features_col).checkpoint())
     finally:
         feats.unpersist()
-    out = best[1].transform(df).withColumn(out_col, F.col(out_col).cast("int"))
-    return out.drop(features_col)
+    return out
