@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +128,7 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: str,
         new = latest_per_key(batch, key, update_time).withColumn(STAMP, _stamp(ingested_at))
     else:
         new = upsert(old, batch, key, update_time, ingested_at)
-    name = f"v-{datetime.utcnow().strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    name = f"v-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     w = new.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
