@@ -143,8 +143,7 @@ def productivity(base: DataFrame, roles: Roles, digits: int | None = None) -> Da
 
 
 def as_metric(df: DataFrame, metric: str, label_col: str, out_label: str) -> DataFrame:
-    """Constant metric label and the label column renamed to the report's
-    (for appending a further section to a ``long_report``)."""
+    """Constant metric label and the label column renamed to the report's."""
     return df.select(F.lit(metric).alias("metric"), F.col(label_col).alias(out_label),
                      YEAR_COL, MONTH_COL, COUNT, TOTAL)
 
@@ -153,44 +152,26 @@ def long_report(base: DataFrame, roles: Roles, tags: Iterable = ("ai", "web", "b
                 min_measure=500, digits: int | None = None) -> DataFrame:
     """Month trend per category  UNION ALL  month trend per target tag
     UNION ALL  every row with measure >= ``min_measure`` as a count-1 row
-    (duplicates kept).
-
-    One pass over ``base``: each row is expanded into its report entries
-    (one per category, one per target tag occurrence, one if the measure
-    qualifies) and a single grouped aggregate computes all of them.  The
-    qualifying rows are grouped by their own values and expanded back with
-    ``array_repeat``, so identical rows stay separate rows in the report.
-    A base that is itself a join (items + tags) is therefore joined and
-    shuffled once, not once per branch.
+    (``unionByName`` keeps duplicates).
+
+    Three column-pruned reads of ``base``: two partial + final aggregates
+    (shuffling only per-task partial rows) and one map-only branch.  For an
+    item table that carries its tags this is cheaper than any single-pass
+    form, which would have to shuffle every qualifying row to keep the three
+    sections apart.  When ``base`` is itself an expensive join at scale,
+    write it once (``checkpoint()`` or a table) and pass the written frame.
     """
-    cat, m = roles.category, F.col(roles.measure)
-    raw_metric = f"stars_ge_{min_measure}"
-    targets = F.array(*[F.lit(t) for t in tags]).cast("array<string>")
-
-    def entry(metric, label, keep):
-        return F.struct(F.lit(metric).alias("metric"), label.cast("string").alias("label"), keep.alias("keep"))
-
-    m_type = base.schema[roles.measure].dataType.simpleString()
-    none = F.lit(None).cast(m_type)
-    no_entries = F.array().cast(f"array<struct<metric:string,label:string,keep:{m_type}>>")
-    tag_entries = F.transform(F.filter(F.coalesce(F.col(roles.tags), F.array().cast("array<string>")),
-                                       lambda t: F.array_contains(targets, t)),
-                              lambda t: entry("topic_trend", t, none))
-    entries = F.concat(F.array(entry("month_wise_trend", F.col(cat), none)), tag_entries,
-                       F.when(m >= F.lit(min_measure), F.array(entry(raw_metric, F.col(cat), m)))
-                       .otherwise(no_entries))
-    g = (base.select(YEAR_COL, MONTH_COL, m.alias("_m"), F.explode(entries).alias("_e"))
-         .groupBy(F.col("_e.metric").alias("metric"), F.col("_e.label").alias("label"), YEAR_COL, MONTH_COL,
-                  F.col("_e.keep").alias("keep"))
-         .agg(F.count(F.lit(1)).alias("_n"), F.sum("_m").alias("_s")))
-    sum_type = g.schema["_s"].dataType.simpleString()
-    one = F.struct(F.lit(1).cast("long").alias("c"), F.col("keep").cast(sum_type).alias("t"))
-    pairs = F.when(F.col("metric") == raw_metric, F.array_repeat(one, F.col("_n").cast("int"))) \
-        .otherwise(F.array(F.struct(F.col("_n").alias("c"), F.col("_s").alias("t"))))
-    out = g.select("metric", F.col("label").alias(cat), YEAR_COL, MONTH_COL, F.explode(pairs).alias("_p"))
-    total = F.col("_p.t")
-    return out.select("metric", cat, YEAR_COL, MONTH_COL, F.col("_p.c").alias(COUNT),
-                      (F.round(total, digits) if digits is not None else total).alias(TOTAL))
+    cat = roles.category
+    month_trend = category_year_month(base, roles, digits)
+    tag_trend = tag_stats(base, roles, keys=[YEAR_COL, MONTH_COL], only=tags, tag_name="_tag",
+                          digits=digits, ordered=False)
+    measure = F.col(roles.measure)
+    rows = (base.where(measure >= F.lit(min_measure))
+            .select(cat, YEAR_COL, MONTH_COL, F.lit(1).cast("long").alias(COUNT),
+                    (F.round(measure, digits) if digits is not None else measure).alias(TOTAL)))
+    return (as_metric(month_trend, "month_wise_trend", cat, cat)
+            .unionByName(as_metric(tag_trend, "topic_trend", "_tag", cat))
+            .unionByName(as_metric(rows, f"stars_ge_{min_measure}", cat, cat)))
 
 
 def rows_of_top_categories(df: DataFrame, category: str, n: int = 8, by: str = COUNT) -> DataFrame:
