@@ -70,6 +70,16 @@ def sample_sources(nodes: DataFrame, k: int, seed: int) -> DataFrame:
     return nodes.orderBy(h, F.col("node")).limit(k).select(F.col("node").alias("s"))
 
 
+def _broadcast_limit(spark) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:  # "10MB" style
+        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        v = v.strip().lower().rstrip("b") or "0"
+        return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(v)
+
+
 def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalized: bool = True,
                 hot_degree: int | None = None) -> DataFrame:
     """Betweenness centrality from ``min(k, n)`` sampled sources.
@@ -78,44 +88,72 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     ``1 / ((n-1)(n-2)) * n / k`` (0 for n <= 2), else ``1/2 * n / k``.  With
     ``k >= n`` every node is a source and the result is exact.
 
-    Skew: a node with ``degree >= hot_degree`` (default: max(1000, 2m/1000))
-    is "hot"; its adjacency rows are spread over ``ceil(degree / hot_degree)``
-    salt buckets and frontier rows reaching it are replicated once per
-    bucket, so no join task holds more than about ``hot_degree`` adjacency
-    rows of one node.  The hot table has at most 2m / hot_degree <= 1000 rows,
-    which bounds what is broadcast.  Each level is checkpointed to the
-    reliable checkpoint directory (lineage cut, survives executor loss).
+    Per BFS level: expand the frontier over the adjacency list, then one
+    grouped aggregate over (expansion UNION the two previous levels) both
+    sums the path counts and drops nodes already seen - one shuffle.  The
+    dependency pass walks the levels back the same way.
+
+    Adjacency join: the adjacency list's byte size is computed exactly from
+    the degree table; when it fits ``spark.sql.autoBroadcastJoinThreshold``
+    it is broadcast (no shuffle, no skew).  Beyond that it is joined by a
+    shuffle on pre-partitioned data, with hot nodes salted: a node with
+    ``degree >= hot_degree`` (default max(1000, 2m/1000)) has its adjacency
+    rows spread over ``ceil(degree / hot_degree)`` buckets and frontier rows
+    reaching it are replicated per bucket, so no task holds more than about
+    ``hot_degree`` adjacency rows of one node.  The hot table has at most
+    2m / hot_degree <= 1000 rows, which bounds what is broadcast for it.
+    Every level is checkpointed to the reliable checkpoint directory
+    (lineage cut; survives executor loss).
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     adj = _adjacency(edges)
     deg = adj.groupBy("u").agg(F.count(F.lit(1)).alias("deg")).checkpoint()
-    n, m2 = deg.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
+    n, m2, name_bytes = deg.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0)),
+        F.coalesce(F.sum(F.col("deg") * F.octet_length("u")), F.lit(0))).first()
     nodes = deg.select(F.col("u").alias("node"))
     if n <= 2:
         return nodes.select("node", F.lit(0.0).alias("betweenness_centrality"))
     kk = n if k is None else min(int(k), n)
-    threshold = hot_degree or max(1000, math.ceil(m2 / 1000))
-    hot = deg.where(F.col("deg") >= threshold).select(
-        F.col("u").alias("_hot"), F.ceil(F.col("deg") / threshold).cast("int").alias("_nsalt"))
-    adj_s = (adj.join(F.broadcast(hot), adj["u"] == hot["_hot"], "left")
-             .select("u", "w", F.when(F.col("_nsalt").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64("w"), F.col("_nsalt"))).cast("int").alias("asalt"))
-             .repartition("u", "asalt").checkpoint())
+    # UnsafeRow of two strings: 8 (null bits) + 2 x 8 (offset/length) + the bytes, 8-aligned
+    adj_bytes = m2 * 40 + 2 * name_bytes
+    limit = _broadcast_limit(spark)
+    small = 0 <= adj_bytes <= limit and hot_degree is None
+
+    if small:
+        adj_b = F.broadcast(adj.checkpoint())
+
+        def expand(df: DataFrame, key: str, value: str) -> DataFrame:
+            return df.join(adj_b, df[key] == adj_b["u"]).select("s", F.col("w").alias("v"), value)
+    else:
+        threshold = hot_degree or max(1000, math.ceil(m2 / 1000))
+        hot = deg.where(F.col("deg") >= threshold).select(
+            F.col("u").alias("_hot"), F.ceil(F.col("deg") / threshold).cast("int").alias("_nsalt"))
+        adj_s = (adj.join(F.broadcast(hot), adj["u"] == hot["_hot"], "left")
+                 .select("u", "w", F.when(F.col("_nsalt").isNull(), F.lit(0))
+                         .otherwise(F.pmod(F.xxhash64("w"), F.col("_nsalt"))).cast("int").alias("asalt"))
+                 .repartition("u", "asalt").checkpoint())
+
+        def expand(df: DataFrame, key: str, value: str) -> DataFrame:
+            return (_with_salt(df, key, hot)
+                    .join(adj_s, (F.col(key) == F.col("u")) & (F.col("salt") == F.col("asalt")))
+                    .select("s", F.col("w").alias("v"), value))
 
     # forward: BFS levels with shortest-path counts
     sources = sample_sources(nodes, kk, seed)
     levels = [sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma")).checkpoint()]
     while True:
         cur = levels[-1]
-        reached = (_with_salt(cur, "v", hot)
-                   .join(adj_s, (F.col("v") == F.col("u")) & (F.col("salt") == F.col("asalt")))
-                   .groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma")))
         # In an undirected graph a neighbour of level d lies on level d-1, d or d+1.
-        seen = cur.select("s", "v")
+        seen = cur.select("s", "v", F.lit(None).cast("double").alias("sigma"), F.lit(1).alias("_old"))
         if len(levels) > 1:
-            seen = seen.unionByName(levels[-2].select("s", "v"))
-        nxt = reached.join(seen, ["s", "v"], "left_anti").checkpoint()
+            seen = seen.unionByName(levels[-2].select("s", "v", F.lit(None).cast("double").alias("sigma"),
+                                                      F.lit(1).alias("_old")))
+        reached = expand(cur, "v", "sigma").withColumn("_old", F.lit(0))
+        nxt = (reached.unionByName(seen).groupBy("s", "v")
+               .agg(F.sum("sigma").alias("sigma"), F.max("_old").alias("_old"))
+               .where(F.col("_old") == 0).drop("_old").checkpoint())
         if nxt.isEmpty():
             break
         levels.append(nxt)
@@ -125,10 +163,11 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     below = levels[-1].select("s", "v", "sigma", F.lit(0.0).alias("delta"))
     for d in range(len(levels) - 2, 0, -1):
         coef = below.select("s", F.col("v").alias("x"), ((1.0 + F.col("delta")) / F.col("sigma")).alias("coef"))
-        contrib = (_with_salt(coef, "x", hot)
-                   .join(adj_s, (F.col("x") == F.col("u")) & (F.col("salt") == F.col("asalt")))
-                   .groupBy("s", F.col("w").alias("v")).agg(F.sum("coef").alias("csum")))
-        cur = (levels[d].join(contrib, ["s", "v"], "left")
+        contrib = expand(coef, "x", "coef").select("s", "v", F.lit(None).cast("double").alias("sigma"), "coef")
+        here = levels[d].select("s", "v", "sigma", F.lit(None).cast("double").alias("coef"))
+        cur = (contrib.unionByName(here).groupBy("s", "v")
+               .agg(F.max("sigma").alias("sigma"), F.sum("coef").alias("csum"))
+               .where(F.col("sigma").isNotNull())
                .select("s", "v", "sigma", F.coalesce(F.col("sigma") * F.col("csum"), F.lit(0.0)).alias("delta"))
                .checkpoint())
         deltas.append(cur.select("v", "delta"))
