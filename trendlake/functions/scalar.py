@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, TimestampNTZType, TimestampType, DateType
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -37,10 +35,13 @@ def elapsed_days(ts, as_of) -> Column:
     """whole 24-hour periods from ``ts`` to ``as_of``, at least 1; null ts -> null.
 
     Counts elapsed time, not calendar dates (23:30 -> 00:30 is 0 days, so 1).
+    ``as_of - ts`` is an exact day-time interval for zoned and zone-less
+    timestamps alike (no session-zone conversion, so no DST hour is gained
+    or lost); its DAY field is the whole days, truncated toward zero, which
+    equals the floor wherever the result is not clipped to 1.
     """
     ts, as_of = _c(ts), _c(as_of)
-    micros = F.timestamp_diff("MICROSECOND", ts, as_of)
-    days = F.floor(micros / F.lit(MICROS_PER_DAY)).cast("long")
+    days = F.extract(F.lit("DAY"), as_of - ts).cast("long")
     return F.when(ts.isNotNull(), F.greatest(F.lit(1).cast("long"), days))
 
 
