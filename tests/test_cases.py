@@ -222,3 +222,14 @@ def test_sums_over_any_grouping_equal_total(spark):
     total = base.agg(F.sum("stars")).first()[0]
     for keys in (["language"], ["language", "year"], ["language", "month"], ["year", "month", "language"]):
         assert agg.count_and_sum(base, keys, "stars").agg(F.sum("total_stars")).first()[0] == total
+
+
+def test_upsert_broadcast_and_shuffle_plans_agree(spark):
+    target = items(spark, [item(i, stars=i) for i in range(20)] + [item(None, stars=-1)])
+    batch = items(spark, [item(i, stars=100 + i, updated="2024-02-01T00:00:00Z") for i in range(15, 30)]
+                  + [item(16, stars=7, updated="2023-01-01T00:00:00Z"), item(None, stars=5)])
+    a = upsert(target, batch, "id", "updated_at", "2024-03-01 00:00:00", broadcast_keys=True)
+    b = upsert(target, batch, "id", "updated_at", "2024-03-01 00:00:00", broadcast_keys=False)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    assert a.count() == 31

@@ -20,6 +20,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trendlake.functions import event_ts
+from trendlake.roles import YEAR_COL, Roles
 from trendlake.session import ensure_checkpoint_dir
 
 FEATURES = "features"
@@ -91,3 +93,13 @@ def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, s
     finally:
         feats.unpersist()
     return out
+
+
+def cluster_projection(clustered: DataFrame, roles: Roles, cluster_col: str = "cluster_id") -> DataFrame:
+    """Key, name, category, event time, measure, cluster id and the event
+    year (lenient parse: a bad or missing time gives a null year).  Roles set
+    to None are left out, except the year, which is then null."""
+    cols = [c for c in (roles.key, roles.name, roles.category, roles.event_time, roles.measure) if c]
+    year = F.year(event_ts(clustered, roles.event_time)) if roles.event_time else F.lit(None).cast("int")
+    return clustered.select(*cols, cluster_col, year.alias(YEAR_COL))
+

@@ -21,7 +21,7 @@ from trendlake.operators import prepare as prep
 from trendlake.operators.features import features
 from trendlake.operators.quality import quality_report
 from trendlake.operators.window import yoy_growth
-from trendlake.plans.tables import (DOCUMENTS, EVENTS, LINEITEM, LINEITEM_BRAND, ORDERS, PART,
+from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, EVENTS, LINEITEM, LINEITEM_BRAND, ORDERS, PART,
                                     lineitem_with_tags, part_with_tags, table)
 from trendlake.sources.upsert import upsert, upsert_stats
 
@@ -308,13 +308,13 @@ def q_text_clusters(spark, d):
     docs = docs.withColumn("_text", join_text(DOCUMENTS.name, DOCUMENTS.description, "tags"))
     feats = cl.text_features(docs.select("doc_id", "source", "lang", "n_chars", "_text"), "_text")
     out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
-    return out.select("doc_id", "source", "lang", "n_chars", "cluster_id")
+    return cl.cluster_projection(out, DOCUMENTS)
 
 
 def q_embedding_clusters(spark, d):
     feats = cl.embedding_features(table(spark, d, "embeddings"), "embedding")
     out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
-    return out.select("vec_id", "label", "cluster_id")
+    return cl.cluster_projection(out, EMBEDDINGS)
 
 
 # --- run metrics -------------------------------------------------------------------

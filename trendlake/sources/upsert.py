@@ -32,8 +32,19 @@ def latest_per_key(batch: DataFrame, key: str, update_time: str | None) -> DataF
     return dedupe_first(b, key, order, descending=True)
 
 
+def _key_broadcast_limit(spark: SparkSession) -> int:
+    """How many batch keys may be broadcast: the broadcast threshold divided by
+    a generous 64 bytes per key row (0 when broadcasting is disabled)."""
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(v)
+    except ValueError:
+        limit = 10 * 1024 * 1024
+    return max(0, limit) // 64
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | None = None,
-           ingested_at=None) -> DataFrame:
+           ingested_at=None, broadcast_keys: bool | None = None) -> DataFrame:
     """The table after upserting ``batch`` into ``target`` by ``key``.
 
     * batch rows with a null key are skipped;
@@ -43,26 +54,47 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
       (a null included) and keep the target's value for the others;
     * target rows whose key is not in the batch are unchanged.
 
-    One full outer equi-join on the key (both sides unique per key after the
-    dedupe, so no hot key can form).  Upserting the same batch twice gives the
-    same table except for ``ingested_at``.
+    Plan.  An incremental batch is usually tiny next to the table, so the
+    batch's distinct keys are counted first (one job on the batch).  When
+    they fit the broadcast threshold (``broadcast_keys=None``: decided by
+    that count) the untouched target rows pass through a broadcast anti
+    join (map-only: the table is never shuffled) and only the matched rows
+    are fetched with a broadcast semi join and merged with the batch.
+    Otherwise one full outer equi-join on the key (both sides unique per key
+    after the dedupe, so no hot key can form).  Both plans give the same
+    rows.  Upserting the same batch twice gives the same table except for
+    ``ingested_at``.
     """
     b = latest_per_key(batch, key, update_time).withColumn(STAMP, _stamp(ingested_at))
     b_cols = [c for c in b.columns if c != key]
     t_cols = [c for c in target.columns if c != key]
+    out_cols = t_cols + [c for c in b_cols if c not in t_cols]
+    if broadcast_keys is None:
+        broadcast_keys = b.count() <= _key_broadcast_limit(b.sparkSession)
+
     bb = b.select(key, *[F.col(c).alias(f"_b_{c}") for c in b_cols], F.lit(True).alias("_b_hit"))
-    tt = target.select(key, *[F.col(c).alias(f"_t_{c}") for c in t_cols])
-    j = tt.join(bb, on=key, how="full_outer")
-    hit = F.col("_b_hit").isNotNull()
-    out = [F.col(key)]
-    for c in t_cols + [c for c in b_cols if c not in t_cols]:
-        if c in t_cols and c in b_cols:
-            out.append(F.when(hit, F.col(f"_b_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
-        elif c in t_cols:
-            out.append(F.col(f"_t_{c}").alias(c))
-        else:
-            out.append(F.col(f"_b_{c}").alias(c))
-    return j.select(*out)
+
+    def merged(t_side: DataFrame, how: str) -> DataFrame:
+        tt = t_side.select(key, *[F.col(c).alias(f"_t_{c}") for c in t_cols])
+        j = tt.join(bb, on=key, how=how)
+        hit = F.col("_b_hit").isNotNull()
+        out = [F.col(key)]
+        for c in out_cols:
+            if c in t_cols and c in b_cols:
+                out.append(F.when(hit, F.col(f"_b_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
+            elif c in t_cols:
+                out.append(F.col(f"_t_{c}").alias(c))
+            else:
+                out.append(F.col(f"_b_{c}").alias(c))
+        return j.select(*out)
+
+    if not broadcast_keys:
+        return merged(target, "full_outer")
+    keys = F.broadcast(b.select(key))
+    untouched = target.join(keys, on=key, how="left_anti").select(
+        key, *[F.col(c) if c in t_cols else F.lit(None).cast(b.schema[c].dataType).alias(c) for c in out_cols])
+    matched = target.join(keys, on=key, how="left_semi")
+    return untouched.unionByName(merged(matched, "right_outer"))
 
 
 def upsert_stats(target: DataFrame, batch: DataFrame, key: str,
@@ -74,10 +106,17 @@ def upsert_stats(target: DataFrame, batch: DataFrame, key: str,
                          (null-safe comparison; the ingest stamp is ignored)
     * ``upserted_count`` batch keys new to the target (inserted by the upsert)
     * ``skipped_count``  batch rows without a key
+
+    As in ``upsert``, a batch whose keys fit the broadcast threshold fetches
+    the touched target rows with a broadcast semi join (no table shuffle).
     """
     b = latest_per_key(batch, key, update_time)
     shared = [c for c in b.columns if c != key and c in target.columns and c != STAMP]
-    tt = target.select(key, *[F.col(c).alias(f"_t_{c}") for c in shared], F.lit(True).alias("_t_hit"))
+    t_side = target
+    if b.count() <= _key_broadcast_limit(b.sparkSession):
+        # only the target rows the batch touches, found map-side
+        t_side = target.join(F.broadcast(b.select(key)), on=key, how="left_semi")
+    tt = t_side.select(key, *[F.col(c).alias(f"_t_{c}") for c in shared], F.lit(True).alias("_t_hit"))
     j = b.join(tt, on=key, how="left")
     hit = F.col("_t_hit").isNotNull()
     changed = F.lit(False)
