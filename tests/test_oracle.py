@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from check_oracle import TABLES, rows_sorted
+from check_oracle import TABLES, rows_sorted, type_mismatches
 from conftest import SMALL
 
 QUERIES = E.queries()
@@ -34,6 +34,7 @@ def test_matches_oracle(spark, duck, name):
     cur = duck.execute(SQL[name])
     o_cols, o_rows = rows_sorted([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == o_cols
+    assert type_mismatches(df.schema, cur.description) == {}
     assert len(s_rows) == len(o_rows)
     assert s_rows == o_rows
 
