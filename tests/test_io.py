@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from trendlake import REFERENCE_ROLES as R
 from trendlake.operators.quality import quality_report
@@ -119,3 +120,22 @@ def test_stream_ingest_in_two_runs_equals_one(spark, scratch):
     before = current_version(t_two)
     ingest_stream(spark, src, t_two, ck, R, min_measure=50)
     assert current_version(t_two) == before
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
+    from trendlake.sources.upsert import write_upsert_partitioned
+    table = os.path.join(scratch, "ptable")
+    year = lambda r: int(r["created_at"][:4])
+    schema = StructType(io.ITEM_SCHEMA.fields + [StructField("year", IntegerType())])
+    rows = [record(i, stars=i, created=f"{2020 + i % 3}-05-01T00:00:00Z") for i in range(12)]
+    first = spark.createDataFrame([{**r, "year": year(r)} for r in rows], schema)
+    assert write_upsert_partitioned(spark, table, first, "id", ["year"], "updated_at", "2024-01-01 00:00:00") == 3
+    files = {y: sorted(os.listdir(os.path.join(table, f"year={y}"))) for y in (2020, 2021, 2022)}
+    upd = [record(4, stars=400, created="2021-05-01T00:00:00Z", updated="2024-02-01T00:00:00Z"),
+           record(99, stars=99, created="2021-07-01T00:00:00Z")]
+    batch = spark.createDataFrame([{**r, "year": year(r)} for r in upd], schema)
+    assert write_upsert_partitioned(spark, table, batch, "id", ["year"], "updated_at", "2024-03-01 00:00:00") == 1
+    assert sorted(os.listdir(os.path.join(table, "year=2020"))) == files[2020]
+    assert sorted(os.listdir(os.path.join(table, "year=2022"))) == files[2022]
+    got = {r.id: (r.stars, r.year) for r in spark.read.parquet(table).collect()}
+    assert len(got) == 13 and got[4] == (400, 2021) and got[99] == (99, 2021) and got[1] == (1, 2021)

@@ -177,3 +177,41 @@ def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: str,
         fh.write(name)
     os.replace(tmp, os.path.join(path, POINTER))
     return os.path.join(path, name)
+
+
+def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: str,
+                             partition_by: Sequence[str], update_time: str | None = None,
+                             ingested_at=None, max_partitions: int = 10_000) -> int:
+    """Upsert ``batch`` into a partitioned Parquet table, rewriting only the
+    partitions the batch touches; returns how many partitions were touched.
+
+    The partition columns must not change for a key (e.g. the creation year):
+    a key's old row is looked for only in the partition its batch row names.
+    The touched partition values are counted first and refused beyond
+    ``max_partitions`` (so the list taken to the driver for partition pruning
+    is bounded); only those partitions are read (static pruning) and
+    replaced (dynamic partition overwrite), every other partition's files
+    are left as they are.  Each partition is replaced by a directory rename
+    at job commit: atomic per partition, not across partitions.
+    """
+    fresh = latest_per_key(batch, key, update_time)
+    parts_df = fresh.select(*partition_by).distinct()
+    n = parts_df.count()
+    if n > max_partitions:
+        raise ValueError(f"batch touches {n} partitions (max {max_partitions})")
+    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    if not os.path.exists(path):
+        (fresh.withColumn(STAMP, _stamp(ingested_at)).write.mode("overwrite").options(**writer_opts)
+         .partitionBy(*partition_by).parquet(path))
+        return n
+    cond = F.lit(False)
+    for row in parts_df.collect():
+        match = F.lit(True)
+        for c in partition_by:
+            v = row[c]
+            match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+        cond = cond | match
+    touched = spark.read.parquet(path).where(cond)
+    new = upsert(touched, batch, key, update_time, ingested_at)
+    new.write.mode("overwrite").options(**writer_opts).partitionBy(*partition_by).parquet(path)
+    return n
