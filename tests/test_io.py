@@ -139,3 +139,11 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
     assert sorted(os.listdir(os.path.join(table, "year=2022"))) == files[2022]
     got = {r.id: (r.stars, r.year) for r in spark.read.parquet(table).collect()}
     assert len(got) == 13 and got[4] == (400, 2021) and got[99] == (99, 2021) and got[1] == (1, 2021)
+
+
+def test_write_observed_counts_during_write(spark, scratch):
+    df = spark.range(0, 250, numPartitions=5).selectExpr("id", "id % 7 AS k")
+    out = os.path.join(scratch, "obs")
+    m = io.write_observed(df, lambda d: d.write.mode("overwrite").parquet(out), "ids")
+    assert m == {"output": "ids", "row_count": 250}
+    assert spark.read.parquet(out).count() == 250

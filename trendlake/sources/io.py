@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType,
                                TimestampType)
@@ -121,6 +123,15 @@ def write_layers(raw: DataFrame, roles: Roles, base: str, digits: int | None = N
     return paths
 
 
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], name: str) -> dict:
+    """A19 while writing: run ``write(df)`` and return ``{"output": name,
+    "row_count": n}`` where n is counted by ``DataFrame.observe`` during the
+    write itself - no second pass over the output."""
+    obs = Observation(name)
+    write(df.observe(obs, F.count(F.lit(1)).alias("row_count")))
+    return {"output": name, "row_count": obs.get["row_count"]}
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` queryable from SQL as ``name``."""
     df.createOrReplaceTempView(name)
