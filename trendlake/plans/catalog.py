@@ -21,7 +21,7 @@ from trendlake.operators import prepare as prep
 from trendlake.operators.features import features
 from trendlake.operators.quality import quality_report
 from trendlake.operators.window import yoy_growth
-from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, EVENTS, LINEITEM, LINEITEM_BRAND, ORDERS, PART,
+from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, LINEITEM, LINEITEM_BRAND, ORDERS, PART,
                                     lineitem_with_tags, part_with_tags, table)
 from trendlake.sources.upsert import upsert, upsert_stats
 

@@ -30,11 +30,6 @@ DOCUMENTS = Roles(key="doc_id", category="lang", measure="n_chars", measure2=Non
 EMBEDDINGS = Roles(key="vec_id", category="label", measure=None, measure2=None, measure3=None,
                    event_time=None, update_time=None, tags=None, name=None, description=None)
 
-EVENTS = Roles(key="event_id", category="event_type", measure="value", measure2="k",
-               measure3=None, event_time="ts", update_time="ts", tags=None, name=None,
-               description=None)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
