@@ -25,6 +25,7 @@ from trendlake.roles import YEAR_COL, Roles
 from trendlake.session import ensure_checkpoint_dir
 
 FEATURES = "features"
+SMALL_FIT_ROWS = 1_000_000
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 14,
 
 def embedding_features(df: DataFrame, array_col: str, out_col: str = FEATURES) -> DataFrame:
     """C1 for precomputed embeddings: ``array<float>`` -> ML dense vector."""
-    return spread(df).withColumn(out_col, array_to_vector(F.col(array_col)))
+    return df.withColumn(out_col, array_to_vector(F.col(array_col)))
 
 
 def default_k(n: int) -> int:
@@ -78,13 +79,19 @@ def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, s
         n = feats.count()
         k = k or default_k(n)
         k = max(1, min(k, n)) if n else 1
+        runs = max(1, restarts)
+        fit_input = feats
+        if n <= SMALL_FIT_ROWS:
+            # Small input: job overhead dominates, and the concurrent restarts
+            # already use the task slots, so each fit gets its share of them.
+            slots = df.sparkSession.sparkContext.defaultParallelism
+            fit_input = feats.coalesce(max(1, slots // runs))
 
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col,
-                           predictionCol=out_col).fit(feats)
+                           predictionCol=out_col).fit(fit_input)
             return model.summary.trainingCost, i, model
 
-        runs = max(1, restarts)
         with ThreadPoolExecutor(max_workers=runs) as pool:
             results = list(pool.map(fit, range(runs)))
         best = min(results, key=lambda r: (r[0], r[1]))[2]
