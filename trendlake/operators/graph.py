@@ -143,7 +143,8 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     # forward: BFS levels with shortest-path counts
     sources = sample_sources(nodes, kk, seed)
     levels = [sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma")).checkpoint()]
-    while True:
+    reached_total = kk
+    while reached_total < kk * n:  # stop early once every source has reached every node
         cur = levels[-1]
         # In an undirected graph a neighbour of level d lies on level d-1, d or d+1.
         seen = cur.select("s", "v", F.lit(None).cast("double").alias("sigma"), F.lit(1).alias("_old"))
@@ -154,9 +155,11 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
         nxt = (reached.unionByName(seen).groupBy("s", "v")
                .agg(F.sum("sigma").alias("sigma"), F.max("_old").alias("_old"))
                .where(F.col("_old") == 0).drop("_old").checkpoint())
-        if nxt.isEmpty():
+        found = nxt.count()  # reads the checkpoint, no recomputation
+        if found == 0:
             break
         levels.append(nxt)
+        reached_total += found
 
     # backward: dependencies, deepest level first
     deltas = []
