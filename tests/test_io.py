@@ -147,3 +147,16 @@ def test_write_observed_counts_during_write(spark, scratch):
     m = io.write_observed(df, lambda d: d.write.mode("overwrite").parquet(out), "ids")
     assert m == {"output": "ids", "row_count": 250}
     assert spark.read.parquet(out).count() == 250
+
+
+def test_flatten_raw_api_items(spark, scratch):
+    from trendlake.operators.ingest import ITEM_FIELDS, flatten_items
+    p = os.path.join(scratch, "api", "page.json")
+    write_array(p, [{"id": 1, "name": "a", "full_name": "o/a", "language": "Go", "stargazers_count": 70,
+                     "forks_count": None, "created_at": "2023-01-01T00:00:00Z", "owner": {"login": "o"}},
+                    {"id": 2, "name": "b", "stargazers_count": 9}])
+    raw = spark.read.option("multiLine", True).json(p)
+    out = {r.id: r for r in flatten_items(raw).collect()}
+    assert flatten_items(raw).columns == list(ITEM_FIELDS)
+    assert (out[1].stars, out[1].forks, out[1].open_issues, out[1].topics) == (70, 0, 0, [])
+    assert (out[2].stars, out[2].language, out[2].html_url) == (9, None, None)

@@ -17,17 +17,39 @@ ITEM_FIELDS = ("id", "name", "full_name", "language", "stars", "forks", "open_is
                "created_at", "updated_at", "description", "topics", "html_url")
 COUNT_FIELDS = ("stars", "forks", "open_issues")
 
-
-def flatten_items(raw: DataFrame, mapping: Mapping[str, str | Column],
+# Item field <- field of a repository-search API result item.
+API_ITEM_FIELDS = {
+    "id": "id",
+    "name": "name",
+    "full_name": "full_name",
+    "language": "language",
+    "stars": "stargazers_count",
+    "forks": "forks_count",
+    "open_issues": "open_issues_count",
+    "created_at": "created_at",
+    "updated_at": "updated_at",
+    "description": "description",
+    "html_url": "html_url",
+}
+
+
+def flatten_items(raw: DataFrame, mapping: Mapping[str, str | Column] | None = None,
                   zero_defaults: Sequence[str] = COUNT_FIELDS,
                   fields: Sequence[str] = ITEM_FIELDS) -> DataFrame:
     """One flat item record per raw row.
 
     ``mapping`` maps an output field to a raw column name or expression
-    (nested fields as ``"owner.login"``).  Fields without a mapping are null,
-    ``topics`` defaults to an empty array, and the count fields default to 0
-    both when absent and when null (keeping the mapped column's type).
+    (nested fields as ``"owner.login"``); the default is the API result item
+    (``API_ITEM_FIELDS``), where a field missing from the raw schema counts as
+    absent.  Fields without a source are null, ``topics`` defaults to an
+    empty array, and the count fields default to 0 both when absent and when
+    null (keeping the mapped column's type).
     """
+    if mapping is None:
+        present = set(raw.columns)
+        mapping = {k: v for k, v in API_ITEM_FIELDS.items() if v in present}
+        if "topics" in present:
+            mapping["topics"] = "topics"
     out = []
     for f in fields:
         src = mapping.get(f)

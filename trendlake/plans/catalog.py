@@ -37,6 +37,7 @@ FILTER_TAGS = ("red", "blue", "gear", "anvil")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 ANOMALY_Q = 0.9
 ANOMALY_N = 10
+TOP_TAGS = 10
 FEATURES_AS_OF = "2002-01-01 00:00:00"
 DOC_EXPECTED = ("doc_id", "text", "lang", "source", "quality", "toxic", "url")
 LABEL_FLAGS = ("quality", "toxic")
@@ -167,6 +168,10 @@ def q_growth_anomalies(spark, d):
     return fc.growth_anomalies(g, ORDERS.category, q=ANOMALY_Q, n=ANOMALY_N)
 
 
+def q_top10_tags(spark, d):
+    return agg.top(part_tag_stats(spark, d), "repo_count", TOP_TAGS, tie_break=["topic"])
+
+
 def q_leader(spark, d):
     return agg.leader(part_totals(spark, d), part_tag_stats(spark, d), PART.category)
 
@@ -344,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "growth_pivot": q_growth_pivot,
     "growth_anomalies": q_growth_anomalies,
     "leader": q_leader,
+    "top10_tags": q_top10_tags,
     "features": q_features,
     "quality_report": q_quality_report,
     "text_build": q_text_build,
