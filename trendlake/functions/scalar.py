@@ -54,17 +54,44 @@ def exact_half_even(c, digits: int, scale: int = 18) -> Column:
     return F.bround(_c(c).cast(f"decimal(38,{scale})"), digits).cast("double")
 
 
+# Exact half-even division without BigDecimal: for integers |n| < 2**52 and
+# d > 0 the correctly rounded double n / d lies on k + 0.5 only when the
+# true quotient does (a non-tie is at least 1 / (2d) away from it, more than
+# the rounding error), so IEEE ``rint`` (round half to even) of it is exact.
+_EXACT_LIMIT = float(2 ** 52)
+
+
+def _units(c: Column, scale: int) -> Column:
+    """``c`` in whole units of 1/scale, half-even (a whole number held in a
+    double; ``rint`` stays in double arithmetic, unlike ``round``)."""
+    return F.rint(c.cast("double") * F.lit(float(scale)))
+
+
 def per_day(measure, days, digits: int = 4) -> Column:
-    """measure per day, half-even to ``digits``."""
-    num = _c(measure).cast("decimal(24,4)")
-    return F.bround(F.try_divide(num, _c(days).cast("decimal(20,0)")), digits).cast("double")
+    """measure per day, half-even to ``digits``; the measure is taken to
+    ``digits`` decimals (half-even) first.  Exact, and codegen-friendly: one ``rint`` of a
+    double quotient; decimal arithmetic only for values beyond 2**52 units."""
+    m, d = _c(measure), _c(days)
+    scale = 10 ** digits
+    n = _units(m, scale)
+    fast = F.rint(n / d.cast("double")) / F.lit(float(scale))
+    slow = F.bround(F.try_divide(m.cast("decimal(24,4)"), d.cast("decimal(20,0)")), digits).cast("double")
+    return F.when((F.abs(n) < F.lit(_EXACT_LIMIT)) & (d > 0), fast).otherwise(slow)
 
 
 def safe_ratio(num, den, digits: int = 4) -> Column:
-    """num / den with a zero denominator replaced by 1, half-even to ``digits``."""
-    den = _c(den)
-    den_fixed = F.when(den == 0, F.lit(1)).otherwise(den).cast("decimal(24,4)")
-    return F.bround(F.try_divide(_c(num).cast("decimal(24,4)"), den_fixed), digits).cast("double")
+    """num / den with a zero denominator replaced by 1, half-even to
+    ``digits`` (both taken to ``digits`` decimals first).  Exact, as
+    ``per_day``."""
+    n, d = _c(num), _c(den)
+    d_fixed = F.when(d == 0, F.lit(1)).otherwise(d)
+    scale = 10 ** digits
+    n_units = _units(n, scale) * F.lit(float(scale))
+    d_units = _units(d_fixed, scale)
+    fast = F.rint(n_units / d_units) / F.lit(float(scale))
+    slow = F.bround(F.try_divide(n.cast("decimal(24,4)"), d_fixed.cast("decimal(24,4)")), digits).cast("double")
+    ok = (F.abs(n_units) < F.lit(_EXACT_LIMIT)) & (F.abs(d_units) < F.lit(_EXACT_LIMIT)) & (d_units != 0)
+    return F.when(ok, fast).otherwise(slow)
 
 
 def min_max(c, lo, hi, eps: float = 1e-9, digits: int = 4) -> Column:
@@ -74,7 +101,10 @@ def min_max(c, lo, hi, eps: float = 1e-9, digits: int = 4) -> Column:
     evaluated once and inlined as literals - no join, no cross product.
     """
     c, lo, hi = _c(c), _c(lo), _c(hi)
-    return F.bround((c - lo).cast("double") / ((hi - lo).cast("double") + F.lit(eps)), digits)
+    scale = float(10 ** digits)
+    x = (c - lo).cast("double") / ((hi - lo).cast("double") + F.lit(eps))
+    # half-even on the double value; with eps > 0 the quotient is never an exact tie
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
 
 
 def join_text(name, description, tags) -> Column:
