@@ -102,22 +102,28 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     reaching it are replicated per bucket, so no task holds more than about
     ``hot_degree`` adjacency rows of one node.  The hot table has at most
     2m / hot_degree <= 1000 rows, which bounds what is broadcast for it.
-    Every level is checkpointed to the reliable checkpoint directory
-    (lineage cut; survives executor loss).
+    Node names are replaced by 64-bit ids (fixed by a checkpoint) for the
+    iteration.  Every level is checkpointed to the reliable checkpoint
+    directory (lineage cut; survives executor loss).
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    adj = _adjacency(edges)
-    deg = adj.groupBy("u").agg(F.count(F.lit(1)).alias("deg")).checkpoint()
-    n, m2, name_bytes = deg.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0)),
-        F.coalesce(F.sum(F.col("deg") * F.octet_length("u")), F.lit(0))).first()
-    nodes = deg.select(F.col("u").alias("node"))
+    named = _adjacency(edges)
+    # Node names -> unique 64-bit ids, fixed once by a checkpoint, so that every
+    # join and grouping of the iteration hashes and shuffles longs, not strings.
+    ids = (named.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
+           .withColumn("nid", F.monotonically_increasing_id()).checkpoint())
+    n, m2 = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
     if n <= 2:
-        return nodes.select("node", F.lit(0.0).alias("betweenness_centrality"))
+        return ids.select("node", F.lit(0.0).alias("betweenness_centrality"))
+    id_of = ids.select("node", "nid")
+    adj = (named.join(id_of.withColumnsRenamed({"node": "u", "nid": "u_id"}), "u")
+           .join(id_of.withColumnsRenamed({"node": "w", "nid": "w_id"}), "w")
+           .select(F.col("u_id").alias("u"), F.col("w_id").alias("w")))
+    deg = ids.select(F.col("nid").alias("u"), "deg")
     kk = n if k is None else min(int(k), n)
-    # UnsafeRow of two strings: 8 (null bits) + 2 x 8 (offset/length) + the bytes, 8-aligned
-    adj_bytes = m2 * 40 + 2 * name_bytes
+    # UnsafeRow of two longs: 8 (null bits) + 2 x 8
+    adj_bytes = m2 * 24
     limit = _broadcast_limit(spark)
     small = 0 <= adj_bytes <= limit and hot_degree is None
 
@@ -141,7 +147,8 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
                     .select("s", F.col("w").alias("v"), value))
 
     # forward: BFS levels with shortest-path counts
-    sources = sample_sources(nodes, kk, seed)
+    sources = sample_sources(ids.select("node"), kk, seed).join(
+        id_of.withColumnsRenamed({"node": "s", "nid": "s_id"}), "s").select(F.col("s_id").alias("s"))
     levels = [sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma")).checkpoint()]
     reached_total = kk
     while reached_total < kk * n:  # stop early once every source has reached every node
@@ -184,10 +191,10 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
         acc = deltas[0]
         for dd in deltas[1:]:
             acc = acc.unionByName(dd)
-        score = acc.groupBy(F.col("v").alias("node")).agg(F.sum("delta").alias("_b"))
-        out = nodes.join(score, "node", "left")
+        score = acc.groupBy(F.col("v").alias("nid")).agg(F.sum("delta").alias("_b"))
+        out = ids.join(score, "nid", "left")
     else:
-        out = nodes.withColumn("_b", F.lit(0.0))
+        out = ids.withColumn("_b", F.lit(0.0))
     return out.select("node", (F.coalesce(F.col("_b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
 
 
