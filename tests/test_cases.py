@@ -233,3 +233,10 @@ def test_upsert_broadcast_and_shuffle_plans_agree(spark):
     assert a.columns == b.columns
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
     assert a.count() == 31
+
+
+def test_with_min_points(spark):
+    y = spark.createDataFrame([("a", 2020, 1), ("a", 2021, 2), ("a", 2022, 3), ("b", 2021, 5), ("b", 2022, 6)],
+                              "language string, year int, repo_count long")
+    assert sorted(r.language for r in agg.with_min_points(y, ["language"], 3).collect()) == ["a", "a", "a"]
+    assert agg.with_min_points(y, ["language"], 2).count() == 5

@@ -185,6 +185,17 @@ def rows_of_top_categories(df: DataFrame, category: str, n: int = 8, by: str = C
     return df.join(F.broadcast(best), on=category, how="left_semi")
 
 
+def with_min_points(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Rows of the groups (by ``keys``) that have at least ``n`` rows.
+
+    A semi join with the qualifying keys of a partially aggregated count, not
+    a window: a hot group is counted per task, never gathered into one, and
+    AQE can split a skewed semi-join partition."""
+    keep = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= n).select(*keys))
+    return df.join(keep, on=list(keys), how="left_semi")
+
+
 def quantile(df: DataFrame, col: str, q: float, approx: bool = False, accuracy: int = 10000) -> Column:
     """``q``-quantile of ``col`` as a scalar subquery column.
 
