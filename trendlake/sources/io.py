@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (ArrayType, LongType, MapType, StringType, StructField, StructType,
                                TimestampType)
 
 from trendlake.operators.aggregate import category_year
@@ -88,15 +88,19 @@ def read_result(spark: SparkSession, path: str, schema: StructType | str | None
 def write_csv(df: DataFrame, path: str, single: bool = False, max_single_rows: int = 1_000_000) -> None:
     """Overwrite a CSV result with a header.
 
-    ``single`` writes one part file through one task; it is only allowed
-    for report-sized results, checked against ``max_single_rows`` first.
+    Array, map and struct columns (CSV has no such types) are written as
+    JSON strings.  ``single`` writes one part file through one task; it is
+    only allowed for report-sized results, checked against
+    ``max_single_rows`` first.
     """
-    out = df
+    nested = (ArrayType, MapType, StructType)
+    out = df.select(*[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested)
+                      else F.col(f.name) for f in df.schema.fields])
     if single:
         n = df.count()
         if n > max_single_rows:
             raise ValueError(f"{n} rows is too many for a single-file CSV (max {max_single_rows})")
-        out = df.coalesce(1)
+        out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
