@@ -240,3 +240,14 @@ def test_with_min_points(spark):
                               "language string, year int, repo_count long")
     assert sorted(r.language for r in agg.with_min_points(y, ["language"], 3).collect()) == ["a", "a", "a"]
     assert agg.with_min_points(y, ["language"], 2).count() == 5
+
+
+def test_empty_inputs_give_typed_empty_results(spark):
+    from trendlake.operators import cluster as cl
+    empty = items(spark, [])
+    base = prep.base_table(empty, R)
+    assert fc.forecast(agg.yearly_counts(base, R), "language").count() == 0
+    assert quality_report(empty, key="id", category="language").first().row_count == 0
+    assert gr.betweenness(gr.build_edges(empty, R)).count() == 0
+    feats = cl.embedding_features(spark.createDataFrame([], "id long, e array<float>"), "e")
+    assert cl.cluster(feats).columns == ["id", "e", "cluster_id"]

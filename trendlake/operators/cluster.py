@@ -77,6 +77,8 @@ def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, s
     feats = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = feats.count()
+        if n == 0:
+            return feats.drop(features_col).withColumn(out_col, F.lit(None).cast("int"))
         k = k or default_k(n)
         k = max(1, min(k, n)) if n else 1
         runs = max(1, restarts)
