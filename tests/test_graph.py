@@ -101,3 +101,10 @@ def test_degree_centrality(spark):
 def test_graph_metrics_sorted_by_degree(spark):
     rows = gr.graph_metrics(edge_frame(spark, [("c", f"l{i}") for i in range(4)]), k=None).collect()
     assert rows[0].node == "c" and rows[0].degree_centrality == 1.0
+
+
+def test_id_collision_falls_back_to_exact_numbering(spark, monkeypatch):
+    # every name hashes to the same id: the exact numbering must take over
+    monkeypatch.setattr(gr.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
+    got = scores(gr.betweenness(edge_frame(spark, [("a", "b"), ("b", "c"), ("c", "d")]), k=None))
+    assert [got[v] for v in "abcd"] == pytest.approx([0.0, 2 / 3, 2 / 3, 0.0])

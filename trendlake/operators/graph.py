@@ -102,24 +102,33 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     reaching it are replicated per bucket, so no task holds more than about
     ``hot_degree`` adjacency rows of one node.  The hot table has at most
     2m / hot_degree <= 1000 rows, which bounds what is broadcast for it.
-    Node names are replaced by 64-bit ids (fixed by a checkpoint) for the
-    iteration.  Every level is checkpointed to the reliable checkpoint
+    Node names are replaced by 64-bit ids for the iteration (a
+    collision-checked hash of the name; an exact numbering if it collides).  Every level is checkpointed to the reliable checkpoint
     directory (lineage cut; survives executor loss).
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     named = _adjacency(edges)
-    # Node names -> unique 64-bit ids, fixed once by a checkpoint, so that every
-    # join and grouping of the iteration hashes and shuffles longs, not strings.
+    # Node names -> 64-bit ids so that every join and grouping of the iteration
+    # hashes and shuffles longs, not strings.  The id is a hash of the name,
+    # computed in place (no join, so a hub node's adjacency rows never meet in
+    # one join task); a distinct count proves it collision-free, otherwise ids
+    # come from an exact, checkpointed numbering joined by name.
     ids = (named.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
-           .withColumn("nid", F.monotonically_increasing_id()).checkpoint())
-    n, m2 = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0))).first()
+           .withColumn("nid", F.xxhash64("node")).checkpoint())
+    n, m2, distinct_ids = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0)),
+                                  F.count_distinct("nid")).first()
     if n <= 2:
         return ids.select("node", F.lit(0.0).alias("betweenness_centrality"))
+    if distinct_ids == n:
+        adj = named.select(F.xxhash64("u").alias("u"), F.xxhash64("w").alias("w"))
+    else:
+        ids = ids.withColumn("nid", F.monotonically_increasing_id()).checkpoint()
+        id_of = ids.select("node", "nid")
+        adj = (named.join(id_of.withColumnsRenamed({"node": "u", "nid": "u_id"}), "u")
+               .join(id_of.withColumnsRenamed({"node": "w", "nid": "w_id"}), "w")
+               .select(F.col("u_id").alias("u"), F.col("w_id").alias("w")))
     id_of = ids.select("node", "nid")
-    adj = (named.join(id_of.withColumnsRenamed({"node": "u", "nid": "u_id"}), "u")
-           .join(id_of.withColumnsRenamed({"node": "w", "nid": "w_id"}), "w")
-           .select(F.col("u_id").alias("u"), F.col("w_id").alias("w")))
     deg = ids.select(F.col("nid").alias("u"), "deg")
     kk = n if k is None else min(int(k), n)
     # UnsafeRow of two longs: 8 (null bits) + 2 x 8
