@@ -103,8 +103,9 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     ``hot_degree`` adjacency rows of one node.  The hot table has at most
     2m / hot_degree <= 1000 rows, which bounds what is broadcast for it.
     Node names are replaced by 64-bit ids for the iteration (a
-    collision-checked hash of the name; an exact numbering if it collides).  Every level is checkpointed to the reliable checkpoint
-    directory (lineage cut; survives executor loss).
+    collision-checked hash of the name; an exact numbering if it collides).
+    Every level is checkpointed to the reliable checkpoint directory
+    (lineage cut; survives executor loss).
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
