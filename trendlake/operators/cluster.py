@@ -52,6 +52,27 @@ def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 14,
     return norm.transform(idf.transform(counts)).drop("_tf", "_tfidf")
 
 
+def cluster_texts(df: DataFrame, text_col: str, num_features: int = 1 << 14, k: int | None = None,
+                  seed: int = 42, restarts: int = 10, max_iter: int = 20,
+                  out_col: str = "cluster_id") -> DataFrame:
+    """C1 + C2 with every text tokenised once: the hashed term counts are
+    persisted, the IDF weights fitted from them, the normalised TF-IDF
+    vectors materialised from the cached counts (which are then released)
+    and clustered by ``cluster``.  All columns but the text are kept."""
+    df = spread(df)
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", minTokenLength=1)
+    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    counts = tf.transform(tok.transform(df)).drop("_tokens", text_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts)
+        norm = Normalizer(inputCol="_tfidf", outputCol=FEATURES, p=2.0)
+        feats = norm.transform(idf.transform(counts)).drop("_tf", "_tfidf").persist(StorageLevel.MEMORY_AND_DISK)
+        feats.count()
+    finally:
+        counts.unpersist()
+    return cluster(feats, FEATURES, k=k, seed=seed, restarts=restarts, max_iter=max_iter, out_col=out_col)
+
+
 def embedding_features(df: DataFrame, array_col: str, out_col: str = FEATURES) -> DataFrame:
     """C1 for precomputed embeddings: ``array<float>`` -> ML dense vector."""
     return df.withColumn(out_col, array_to_vector(F.col(array_col)))

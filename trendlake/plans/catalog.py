@@ -311,8 +311,8 @@ def q_graph_metrics(spark, d):
 def q_text_clusters(spark, d):
     docs = documents_tagged(spark, d)
     docs = docs.withColumn("_text", join_text(DOCUMENTS.name, DOCUMENTS.description, "tags"))
-    feats = cl.text_features(docs.select("doc_id", "source", "lang", "n_chars", "_text"), "_text")
-    out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
+    out = cl.cluster_texts(docs.select("doc_id", "source", "lang", "n_chars", "_text"), "_text",
+                           seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
     return cl.cluster_projection(out, DOCUMENTS)
 
 

@@ -62,7 +62,7 @@ def build_reports(raw: DataFrame, silver: DataFrame, roles: Roles = REFERENCE_RO
     if clusters:
         def text_clusters() -> DataFrame:
             text = raw.withColumn("_text", join_text(roles.name, roles.description, roles.tags))
-            return cl.cluster_projection(cl.cluster(cl.text_features(text, "_text")), roles)
+            return cl.cluster_projection(cl.cluster_texts(text, "_text"), roles)
         reports["nlp_topic_clusters"] = text_clusters
     if graph:
         reports["graph_metrics"] = lambda: gr.graph_metrics(gr.build_edges(raw, roles))
