@@ -10,10 +10,12 @@ series - bounded by the number of years, never by the number of raw rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,11 @@ from trendlake.roles import YEAR_COL
 
 COUNT = "repo_count"
 
+# The grouped ARIMA function is shipped to the Python workers by value (code,
+# not a module reference), so executors need numpy and pandas but not this
+# package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _linear_fit(yearly: DataFrame, category: str, year: str, count: str) -> DataFrame:
     y = F.col(count).cast("double")
