@@ -160,3 +160,27 @@ def test_flatten_raw_api_items(spark, scratch):
     assert flatten_items(raw).columns == list(ITEM_FIELDS)
     assert (out[1].stars, out[1].forks, out[1].open_issues, out[1].topics) == (70, 0, 0, [])
     assert (out[2].stars, out[2].language, out[2].html_url) == (9, None, None)
+
+
+def test_stream_ingest_of_raw_api_items(spark, scratch):
+    from pyspark.sql.types import LongType, StringType
+
+    from trendlake.operators.ingest import flatten_items
+    api_schema = StructType([StructField("id", LongType()), StructField("name", StringType()),
+                             StructField("full_name", StringType()), StructField("language", StringType()),
+                             StructField("stargazers_count", LongType()), StructField("forks_count", LongType()),
+                             StructField("created_at", StringType()), StructField("updated_at", StringType())])
+    src = os.path.join(scratch, "api")
+    write_array(os.path.join(src, "p1.json"), [
+        {"id": 1, "name": "a", "language": "Go", "stargazers_count": 80, "forks_count": 3,
+         "created_at": "2023-01-01T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z"},
+        {"id": 2, "name": "b", "language": "Go", "stargazers_count": 20,
+         "created_at": "2023-01-01T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z"}])
+    write_array(os.path.join(src, "p2.json"), [
+        {"id": 1, "name": "a", "language": "Go", "stargazers_count": 95,
+         "created_at": "2023-01-01T00:00:00Z", "updated_at": "2024-03-01T00:00:00Z"}])
+    table = os.path.join(scratch, "items")
+    ingest_stream(spark, src, table, os.path.join(scratch, "ck"), R, schema=api_schema,
+                  shape=lambda df: flatten_items(df).where("stars > 50"), ingested_at="2024-04-01 00:00:00")
+    got = {r.id: (r.stars, r.forks, r.topics) for r in read_table(spark, table).collect()}
+    assert got == {1: (95, 0, [])}
