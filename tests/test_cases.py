@@ -251,3 +251,12 @@ def test_empty_inputs_give_typed_empty_results(spark):
     assert gr.betweenness(gr.build_edges(empty, R)).count() == 0
     feats = cl.embedding_features(spark.createDataFrame([], "id long, e array<float>"), "e")
     assert cl.cluster(feats).columns == ["id", "e", "cluster_id"]
+
+
+def test_incremental_slice_default_mark_is_yesterday(spark):
+    from datetime import timedelta, timezone
+    now = datetime.now(timezone.utc)
+    iso = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    df = items(spark, [item(1, updated=iso(now - timedelta(hours=2)), stars=60),
+                       item(2, updated=iso(now - timedelta(days=3)), stars=60)])
+    assert [r.id for r in ing.incremental_slice(df, R, mark=None, min_measure=50).collect()] == [1]
