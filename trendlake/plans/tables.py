@@ -16,9 +16,6 @@ LINEITEM = Roles(key=None, category="l_returnflag", measure="l_extendedprice",
                  measure2="l_quantity", measure3="l_linenumber", event_time="l_shipdate",
                  update_time="l_shipdate", tags="tags", name=None, description=None)
 
-# lineitem with the part brand as category (25 brands): growth by brand x ship year.
-LINEITEM_BRAND = LINEITEM.with_(category="p_brand")
-
 PART = Roles(key="p_partkey", category="p_brand", measure="p_retailprice", measure2=None,
              measure3=None, event_time=None, update_time=None, tags="tags", name="p_name",
              description=None)
