@@ -33,3 +33,15 @@ def test_null_inputs(spark):
     got = df.select(per_day("m", "days").alias("p"), safe_ratio("m2", "m").alias("r")).collect()
     assert got[0].p is None and got[1].p is None and got[1].r is None
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_broadcast_threshold_units(spark):
+    from trendlake.session import broadcast_threshold
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for value, expected in [("10485760b", 10485760), ("20MB", 20 << 20), ("1g", 1 << 30), ("-1", -1),
+                                ("4096", 4096)]:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", value)
+            assert broadcast_threshold(spark) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trendlake.functions import node_name
 from trendlake.roles import Roles
-from trendlake.session import ensure_checkpoint_dir
+from trendlake.session import broadcast_threshold, ensure_checkpoint_dir
 
 # Node-name prefixes and edge types of the item graph.
 ITEM_PREFIX, CATEGORY_PREFIX, TAG_PREFIX = "repo", "lang", "topic"
@@ -70,16 +70,6 @@ def sample_sources(nodes: DataFrame, k: int, seed: int) -> DataFrame:
     return nodes.orderBy(h, F.col("node")).limit(k).select(F.col("node").alias("s"))
 
 
-def _broadcast_limit(spark) -> int:
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(v)
-    except ValueError:  # "10MB" style
-        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-        v = v.strip().lower().rstrip("b") or "0"
-        return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(v)
-
-
 def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalized: bool = True,
                 hot_degree: int | None = None) -> DataFrame:
     """Betweenness centrality from ``min(k, n)`` sampled sources.
@@ -134,7 +124,7 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     kk = n if k is None else min(int(k), n)
     # UnsafeRow of two longs: 8 (null bits) + 2 x 8
     adj_bytes = m2 * 24
-    limit = _broadcast_limit(spark)
+    limit = broadcast_threshold(spark)
     small = 0 <= adj_bytes <= limit and hot_degree is None
 
     if small:

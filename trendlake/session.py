@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,3 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: iterative operators need a shared "
         "checkpoint directory on a cluster")
+
+
+_BYTE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+               "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (Spark returns it as
+    ``10485760b``, ``20MB``, ...); negative means broadcasting is disabled."""
+    v = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    m = re.fullmatch(r"(-?\d+(?:\.\d+)?)\s*([a-z]*)", v)
+    if not m or m.group(2) not in _BYTE_UNITS:
+        return 10 << 20
+    return int(float(m.group(1)) * _BYTE_UNITS[m.group(2)])
+

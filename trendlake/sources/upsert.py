@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.operators.ingest import dedupe_first
+from trendlake.session import broadcast_threshold
 
 STAMP = "ingested_at"
 
@@ -35,12 +36,7 @@ def latest_per_key(batch: DataFrame, key: str, update_time: str | None) -> DataF
 def _key_broadcast_limit(spark: SparkSession) -> int:
     """How many batch keys may be broadcast: the broadcast threshold divided by
     a generous 64 bytes per key row (0 when broadcasting is disabled)."""
-    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(v)
-    except ValueError:
-        limit = 10 * 1024 * 1024
-    return max(0, limit) // 64
+    return max(0, broadcast_threshold(spark)) // 64
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | None = None,
