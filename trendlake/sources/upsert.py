@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.operators.ingest import dedupe_first
-from trendlake.session import broadcast_threshold
+from trendlake.session import broadcast_threshold, ensure_checkpoint_dir
 
 STAMP = "ingested_at"
 
@@ -51,7 +51,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
     * target rows whose key is not in the batch are unchanged.
 
     Plan.  An incremental batch is usually tiny next to the table, so the
-    batch's distinct keys are counted first (one job on the batch).  When
+    de-duplicated batch is written once with a reliable checkpoint and its
+    keys are counted.  When
     they fit the broadcast threshold (``broadcast_keys=None``: decided by
     that count) the untouched target rows pass through a broadcast anti
     join (map-only: the table is never shuffled) and only the matched rows
@@ -66,6 +67,9 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
     t_cols = [c for c in target.columns if c != key]
     out_cols = t_cols + [c for c in b_cols if c not in t_cols]
     if broadcast_keys is None:
+        # written once (reliable checkpoint): counted, then read by the merge
+        ensure_checkpoint_dir(b.sparkSession)
+        b = b.checkpoint()
         broadcast_keys = b.count() <= _key_broadcast_limit(b.sparkSession)
 
     bb = b.select(key, *[F.col(c).alias(f"_b_{c}") for c in b_cols], F.lit(True).alias("_b_hit"))
