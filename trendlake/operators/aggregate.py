@@ -14,10 +14,11 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.roles import MONTH_COL, YEAR_COL, Roles
+from trendlake.roles import (COUNT_COL, MONTH_COL, MONTH_METRIC, RAW_METRIC_PREFIX, TAG_METRIC,
+                             TOTAL_COL, YEAR_COL, Roles)
 
-COUNT = "repo_count"
-TOTAL = "total_stars"
+COUNT = COUNT_COL
+TOTAL = TOTAL_COL
 
 
 def _sum(c: Column, digits: int | None) -> Column:
@@ -169,9 +170,9 @@ def long_report(base: DataFrame, roles: Roles, tags: Iterable = ("ai", "web", "b
     rows = (base.where(measure >= F.lit(min_measure))
             .select(cat, YEAR_COL, MONTH_COL, F.lit(1).cast("long").alias(COUNT),
                     (F.round(measure, digits) if digits is not None else measure).alias(TOTAL)))
-    return (as_metric(month_trend, "month_wise_trend", cat, cat)
-            .unionByName(as_metric(tag_trend, "topic_trend", "_tag", cat))
-            .unionByName(as_metric(rows, f"stars_ge_{min_measure}", cat, cat)))
+    return (as_metric(month_trend, MONTH_METRIC, cat, cat)
+            .unionByName(as_metric(tag_trend, TAG_METRIC, "_tag", cat))
+            .unionByName(as_metric(rows, f"{RAW_METRIC_PREFIX}{min_measure}", cat, cat)))
 
 
 def rows_of_top_categories(df: DataFrame, category: str, n: int = 8, by: str = COUNT) -> DataFrame:

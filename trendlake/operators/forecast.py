@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from trendlake.functions import band
 from trendlake.operators.aggregate import quantile
 from trendlake.operators.window import split_last
-from trendlake.roles import YEAR_COL
+from trendlake.roles import COUNT_COL, YEAR_COL
 
-COUNT = "repo_count"
+COUNT = COUNT_COL
 
 # The grouped ARIMA function is shipped to the Python workers by value (code,
 # not a module reference), so executors need numpy and pandas but not this

@@ -12,9 +12,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlake.roles import YEAR_COL
+from trendlake.roles import COUNT_COL, YEAR_COL
 
-COUNT = "repo_count"
+COUNT = COUNT_COL
 
 
 def yoy_growth(yearly: DataFrame, category: str, year: str = YEAR_COL, count: str = COUNT,

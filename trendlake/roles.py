@@ -34,3 +34,12 @@ REFERENCE_ROLES = Roles()
 TS_COL = "created_ts"
 YEAR_COL = "year"
 MONTH_COL = "month"
+
+# Names of result columns and report labels that outputs share
+# with the original reports.
+COUNT_COL = "repo_count"
+TOTAL_COL = "total_stars"
+MONTH_METRIC = "month_wise_trend"
+TAG_METRIC = "topic_trend"
+RAW_METRIC_PREFIX = "stars_ge_"
+
