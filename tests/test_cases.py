@@ -260,3 +260,10 @@ def test_incremental_slice_default_mark_is_yesterday(spark):
     df = items(spark, [item(1, updated=iso(now - timedelta(hours=2)), stars=60),
                        item(2, updated=iso(now - timedelta(days=3)), stars=60)])
     assert [r.id for r in ing.incremental_slice(df, R, mark=None, min_measure=50).collect()] == [1]
+
+
+def test_base_table_without_event_time(spark):
+    from trendlake.plans.tables import PART
+    df = spark.createDataFrame([(1, "Brand#1", 9.5), (2, None, 1.0)], "p_partkey long, p_brand string, p_retailprice double")
+    rows = prep.base_table(df, PART).collect()
+    assert len(rows) == 1 and rows[0].year is None and rows[0].created_ts is None

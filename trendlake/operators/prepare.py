@@ -20,6 +20,9 @@ def base_table(df: DataFrame, roles: Roles, keep_null_category: bool = False) ->
     out = df
     if roles.category and not keep_null_category:
         out = out.where(F.col(roles.category).isNotNull())
+    if not roles.event_time:  # a table without an event time: null time columns
+        return out.withColumns({TS_COL: F.lit(None).cast("timestamp"), YEAR_COL: F.lit(None).cast("int"),
+                                MONTH_COL: F.lit(None).cast("int")})
     ts = event_ts(df, roles.event_time)
     return out.withColumns({TS_COL: ts, YEAR_COL: F.year(ts), MONTH_COL: F.month(ts)})
 
