@@ -184,3 +184,11 @@ def test_stream_ingest_of_raw_api_items(spark, scratch):
                   shape=lambda df: flatten_items(df).where("stars > 50"), ingested_at="2024-04-01 00:00:00")
     got = {r.id: (r.stars, r.forks, r.topics) for r in read_table(spark, table).collect()}
     assert got == {1: (95, 0, [])}
+
+
+def test_load_csv_source(spark, scratch):
+    out = os.path.join(scratch, "items_csv")
+    spark.createDataFrame([(1, "Go", 10)], "id long, language string, stars long").write.option("header", True).csv(out)
+    df = io.load(spark, "csv", out)
+    r = df.first()
+    assert (r.id, r.language, r.stars) == (1, "Go", 10)

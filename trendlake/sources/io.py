@@ -53,27 +53,31 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType | None =
 
 
 def load(spark: SparkSession, source: str = "json", path: str | None = None,
-         schema: StructType | None = ITEM_SCHEMA, **options) -> DataFrame:
+         schema: StructType | None = None, **options) -> DataFrame:
     """Load the item table from a named source.
 
-    ``json`` (default) reads JSON-array files; ``parquet``/``csv``/``orc``/...
-    go through ``spark.read.format``.  The document-store source needs a
-    connection URI option (error otherwise) and the store's Spark connector
-    on the classpath; it is passed through unchanged.
+    ``json`` (default) reads JSON-array files with the item schema unless
+    another is given; ``parquet``/``csv``/``orc``/... go through
+    ``spark.read.format`` with their own schema (or the one given; CSV with a
+    header).  The document-store source needs a connection URI option (error
+    otherwise) and the store's Spark connector on the classpath; it is passed
+    through unchanged.
     """
     if source == "json":
         if path is None:
             raise ValueError("path is required for the json source")
-        return read_json_array(spark, path, schema)
+        return read_json_array(spark, path, schema or ITEM_SCHEMA)
     if source in DOCUMENT_STORE_FORMATS:
         if not any("connection.uri" in k or k == "uri" for k in options):
             raise ValueError("a connection URI option is required for the document-store source")
         return spark.read.format("mongodb").options(**options).load()
     r = spark.read.format(source).options(**options)
-    if schema is not None and source not in ("parquet", "orc", "delta"):
+    if schema is not None:
         r = r.schema(schema)
     if source == "csv":
         r = r.option("header", True)
+        if schema is None:
+            r = r.option("inferSchema", True)
     return r.load(path) if path is not None else r.load()
 
 
