@@ -192,3 +192,15 @@ def test_load_csv_source(spark, scratch):
     df = io.load(spark, "csv", out)
     r = df.first()
     assert (r.id, r.language, r.stars) == (1, "Go", 10)
+
+
+def test_partitioned_upsert_with_null_partition(spark, scratch):
+    from trendlake.sources.upsert import write_upsert_partitioned
+    table = os.path.join(scratch, "ntable")
+    schema = "id long, v long, updated_at string, year int"
+    first = spark.createDataFrame([(1, 1, "2024-01-01", None), (2, 2, "2024-01-01", 2020)], schema)
+    write_upsert_partitioned(spark, table, first, "id", ["year"], "updated_at", "2024-01-02 00:00:00")
+    batch = spark.createDataFrame([(1, 10, "2024-02-01", None)], schema)
+    assert write_upsert_partitioned(spark, table, batch, "id", ["year"], "updated_at", "2024-02-02 00:00:00") == 1
+    got = {r.id: (r.v, r.year) for r in spark.read.parquet(table).collect()}
+    assert got == {1: (10, None), 2: (2, 2020)}
