@@ -108,3 +108,10 @@ def test_id_collision_falls_back_to_exact_numbering(spark, monkeypatch):
     monkeypatch.setattr(gr.F, "xxhash64", lambda *cols: F.lit(7).cast("long"))
     got = scores(gr.betweenness(edge_frame(spark, [("a", "b"), ("b", "c"), ("c", "d")]), k=None))
     assert [got[v] for v in "abcd"] == pytest.approx([0.0, 2 / 3, 2 / 3, 0.0])
+
+
+def test_graph_metrics_degree_matches_degree_query(spark):
+    edges = catalog.q_edges(spark, SMALL)
+    a = {r.node: r.degree_centrality for r in gr.graph_metrics(edges, k=5).collect()}
+    b = {r.node: r.degree_centrality for r in gr.degree_centrality(edges).collect()}
+    assert a == b

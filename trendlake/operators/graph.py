@@ -71,7 +71,7 @@ def sample_sources(nodes: DataFrame, k: int, seed: int) -> DataFrame:
 
 
 def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalized: bool = True,
-                hot_degree: int | None = None) -> DataFrame:
+                hot_degree: int | None = None, with_degree: bool = False) -> DataFrame:
     """Betweenness centrality from ``min(k, n)`` sampled sources.
 
     Scaling as in the classic sampled estimator: for normalized scores
@@ -109,8 +109,9 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
            .withColumn("nid", F.xxhash64("node")).checkpoint())
     n, m2, distinct_ids = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum("deg"), F.lit(0)),
                                   F.count_distinct("nid")).first()
+    extra = [F.col("deg").alias("degree")] if with_degree else []
     if n <= 2:
-        return ids.select("node", F.lit(0.0).alias("betweenness_centrality"))
+        return ids.select("node", *extra, F.lit(0.0).alias("betweenness_centrality"))
     if distinct_ids == n:
         adj = named.select(F.xxhash64("u").alias("u"), F.xxhash64("w").alias("w"))
     else:
@@ -195,14 +196,16 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
         out = ids.join(score, "nid", "left")
     else:
         out = ids.withColumn("_b", F.lit(0.0))
-    return out.select("node", (F.coalesce(F.col("_b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
+    return out.select("node", *extra,
+                      (F.coalesce(F.col("_b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
 
 
 def graph_metrics(edges: DataFrame, k: int | None = 100, seed: int = 42) -> DataFrame:
-    """G4 (J4, O7): degree and betweenness centrality per node, highest degree first."""
-    deg = degree_centrality(edges).select("node", "degree_centrality")
-    btw = betweenness(edges, k=k, seed=seed)
-    return (deg.join(btw, "node", "left")
-            .select("node", "degree_centrality",
-                    F.coalesce(F.col("betweenness_centrality"), F.lit(0.0)).alias("betweenness_centrality"))
+    """G4 (J4, O7): degree and betweenness centrality per node, highest degree
+    first.  The degrees come from the betweenness run's own degree table
+    (one adjacency aggregation for both measures)."""
+    btw = betweenness(edges, k=k, seed=seed, with_degree=True)
+    n = btw.agg(F.count(F.lit(1))).scalar()
+    deg_c = F.when(n > 1, F.col("degree") / (n - 1)).otherwise(F.lit(1.0))
+    return (btw.select("node", deg_c.alias("degree_centrality"), "betweenness_centrality")
             .orderBy(F.desc("degree_centrality"), F.asc("node")))
