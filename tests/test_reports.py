@@ -15,7 +15,7 @@ def test_write_reports_end_to_end(spark, scratch):
                       "forks": i % 9, "open_issues": i % 5, "created_at": f"{2021 + i % 4}-0{1 + i % 9}-15T00:00:00Z",
                       "updated_at": "2024-06-01T00:00:00Z", "description": f"tool number {i}",
                       "topics": [["ai", "web"], ["web"], [], ["blockchain", "ai"]][i % 4], "html_url": None})
-    path = os.path.join(scratch, "raw_repos.json")
+    path = os.path.join(scratch, "items.json")
     with open(path, "w", encoding="utf-8") as fh:
         json.dump(items, fh)
     metrics = {r.output: r.row_count for r in

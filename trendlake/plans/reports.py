@@ -43,6 +43,8 @@ def build_reports(raw: DataFrame, silver: DataFrame, roles: Roles = REFERENCE_RO
     table (null categories included), ``silver`` its clean base table."""
     cat = roles.category
     yearly = agg.yearly_counts(silver, roles)
+    # The report names (output directories) of the original run,
+    # so existing readers of those outputs find them under the same names.
     reports: dict[str, Callable[[], DataFrame]] = {
         "rdd_language_stars": lambda: agg.category_sum(raw, roles),
         "processed_language_year": lambda: agg.category_year(silver, roles),
