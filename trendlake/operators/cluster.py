@@ -32,8 +32,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition when the input has fewer partitions than task
     slots (a small file of long texts is one scan split, but tokenising and
     k-means are CPU-bound per row).  Large inputs keep their scan splits."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): keep the scan splits
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 14,
@@ -107,8 +111,11 @@ def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, s
         if n <= SMALL_FIT_ROWS:
             # Small input: job overhead dominates, and the concurrent restarts
             # already use the task slots, so each fit gets its share of them.
-            slots = df.sparkSession.sparkContext.defaultParallelism
-            fit_input = feats.coalesce(max(1, slots // runs))
+            try:
+                slots = df.sparkSession.sparkContext.defaultParallelism
+                fit_input = feats.coalesce(max(1, slots // runs))
+            except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+                pass
 
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col,

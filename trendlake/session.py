@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     with the executor that wrote them.  Only a local-mode session (tests,
     single-machine runs) gets a private temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
