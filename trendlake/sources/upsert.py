@@ -52,9 +52,9 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
 
     Plan.  An incremental batch is usually tiny next to the table, so the
     de-duplicated batch is written once with a reliable checkpoint and its
-    keys are counted.  When
-    they fit the broadcast threshold (``broadcast_keys=None``: decided by
-    that count) the untouched target rows pass through a broadcast anti
+    keys are counted.  When they fit the broadcast threshold
+    (``broadcast_keys=None``: decided by that count; ``True`` / ``False``
+    force a plan) the untouched target rows pass through a broadcast anti
     join (map-only: the table is never shuffled) and only the matched rows
     are fetched with a broadcast semi join and merged with the batch.
     Otherwise one full outer equi-join on the key (both sides unique per key
