@@ -32,3 +32,14 @@ def test_write_reports_end_to_end(spark, scratch):
     quality = spark.read.json(os.path.join(scratch, "output", "data_quality_report")).first()
     assert quality.row_count == 60 and quality.null_language_pct == 25.0
     assert sorted(quality.schema_extra_columns) == ["description", "open_issues", "updated_at"]
+
+
+def test_command_line(spark, scratch, capsys):
+    from trendlake.__main__ import main
+    path = os.path.join(scratch, "items.json")
+    with open(path, "w", encoding="utf-8") as fh:
+        json.dump([{"id": i, "language": "Go" if i % 2 else "Rust", "stars": 10 * i,
+                    "created_at": f"{2020 + i % 3}-01-01T00:00:00Z"} for i in range(12)], fh)
+    main([path, scratch, "--only", "growth", "avg_stars"])
+    out = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert out == {"growth": "6", "avg_stars": "2"}
