@@ -125,7 +125,10 @@ def write_layers(raw: DataFrame, roles: Roles, base: str, digits: int | None = N
     raw.write.mode("overwrite").parquet(paths["bronze"])
     spark = raw.sparkSession
     silver = base_table(spark.read.parquet(paths["bronze"]), roles)
-    silver.write.mode("overwrite").partitionBy(YEAR_COL).parquet(paths["silver"])
+    # rebalance by year: a few large files per year directory instead of one
+    # per task and year; AQE splits a year that holds most of the rows.
+    (silver.hint("rebalance", YEAR_COL).write.mode("overwrite")
+     .partitionBy(YEAR_COL).parquet(paths["silver"]))
     gold = category_year(spark.read.parquet(paths["silver"]), roles, digits)
     gold.write.mode("overwrite").parquet(paths["gold"])
     return paths

@@ -213,5 +213,6 @@ def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, k
         cond = cond | match
     touched = spark.read.parquet(path).where(cond)
     new = upsert(touched, batch, key, update_time, ingested_at)
-    new.write.mode("overwrite").options(**writer_opts).partitionBy(*partition_by).parquet(path)
+    (new.hint("rebalance", *partition_by).write.mode("overwrite").options(**writer_opts)
+     .partitionBy(*partition_by).parquet(path))
     return n
