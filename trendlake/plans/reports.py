@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,21 +74,27 @@ def build_reports(raw: DataFrame, silver: DataFrame, roles: Roles = REFERENCE_RO
 
 def write_reports(spark: SparkSession, items_path: str, out_dir: str, roles: Roles = REFERENCE_ROLES,
                   source: str = "json", as_of=None, only: Sequence[str] | None = None,
-                  **options) -> DataFrame:
+                  parallel: int = 4, **options) -> DataFrame:
     """Read the items, write the layers under ``out_dir/data`` and every report
     under ``out_dir/output/<name>`` (CSV with header; the quality report as
-    JSON); return ``(output, row_count)`` run metrics."""
+    JSON); return ``(output, row_count)`` run metrics.
+
+    The reports are independent, so up to ``parallel`` of them are submitted
+    as concurrent Spark jobs (small aggregates would otherwise leave most of
+    a cluster idle)."""
     raw_in = io.load(spark, source, items_path, **options)
     paths = io.write_layers(raw_in, roles, os.path.join(out_dir, "data"))
     raw = spark.read.parquet(paths["bronze"])
     silver = spark.read.parquet(paths["silver"])
-    metrics = []
-    for name, build in build_reports(raw, silver, roles, as_of=as_of).items():
-        if only and name not in only:
-            continue
+    todo = [(name, build) for name, build in build_reports(raw, silver, roles, as_of=as_of).items()
+            if not only or name in only]
+
+    def write(item) -> dict:
+        name, build = item
         target = os.path.join(out_dir, "output", name)
-        if name == "data_quality_report":
-            metrics.append(io.write_observed(build(), lambda d, t=target: io.write_json(d, t), name))
-        else:
-            metrics.append(io.write_observed(build(), lambda d, t=target: io.write_csv(d, t), name))
+        sink = io.write_json if name == "data_quality_report" else io.write_csv
+        return io.write_observed(build(), lambda d: sink(d, target), name)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        metrics = list(pool.map(write, todo))
     return spark.createDataFrame(metrics, "output string, row_count long")
