@@ -13,7 +13,7 @@ from trendlake.operators.window import yoy_growth
 from trendlake.sources.io import ITEM_SCHEMA
 from trendlake.sources.upsert import upsert
 
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 series = st.dictionaries(
     st.sampled_from(["Go", "Rust", "C"]),
