@@ -55,7 +55,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     lineage, and a lost executor costs only the re-read."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from trendlake.llm import mixing, rollup, rules
+from trendlake.llm import bpe, mixing, quality, rollup, rules, simhash, topk, toxicity
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op2_quality_rules": rules.op2_quality_rules,
     "op3_token_rollup": rollup.op3_token_rollup,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op6_bpe": bpe.op6_bpe,
+    "op8_simhash": simhash.op8_simhash,
+    "op9_topk": topk.op9_topk,
     "op10_mixing": mixing.op10_mixing,
 }
 
 SQL = {
     "op2_quality_rules": rules.OP2_SQL,
     "op3_token_rollup": rollup.OP3_SQL,
+    "op9_topk": topk.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
