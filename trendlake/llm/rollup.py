@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import SPACES, scratch_path, table, word_count
+from trendlake.llm.common import scratch_path, table, word_count
 
 KEY = ("doc_id", "tokenizer")
 CELL = ("source", "lang", "tokenizer")
@@ -72,7 +72,8 @@ class TokenRollup:
         """All committed rows."""
         ids = self.batches()
         if not ids:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+            return self.spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in
+                                                (x.split() for x in COMMIT_SCHEMA.split(", "))])
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(
             *[f"{self.path}/commits/b{i:09d}={b}" for i, b in enumerate(ids)])
 
@@ -100,7 +101,7 @@ class TokenRollup:
             F.when(~F.col("gone"), F.col("source")).alias("source"),
             F.when(~F.col("gone"), F.col("lang")).alias("lang"),
             F.when(~F.col("gone"), F.col("n_tokens")).alias("n_tokens"), F.lit(len(known)).cast("long").alias("seq"))
-        out.write.mode("overwrite").parquet(f"{self.path}/commits/b{len(known):09d}={batch_id}")
+        out.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/commits/b{len(known):09d}={batch_id}")
         return True
 
     def totals(self) -> DataFrame:
