@@ -388,5 +388,24 @@ def digests(docs: DataFrame, text_col: str = "text", vocabulary: str | None = No
     return docs.select(*cols, run(F.col(text_col)).alias("_d")).select(*cols, "_d.*")
 
 
+def encode_documents(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with the text replaced by its ids: n_tokens, ids array<int> and
+    round_trip (the ids decode to the text)."""
+    ship_code(docs.sparkSession)
+
+    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        from trendlake.llm import bpe
+        v = bpe.load(vocabulary or bpe.vocabulary_path())
+        rows = []
+        for t in texts:
+            ids = [i for part in bpe.encode(t, v) for i in part]
+            rows.append((len(ids), np.array(ids, np.int32), bpe.Decoder(v).feed(ids, True) == (t or "")))
+        return pd.DataFrame(rows, columns=["n_tokens", "ids", "round_trip"])
+
+    cols = [f"`{c}`" for c in docs.columns if c != text_col]
+    return docs.select(*cols, run(F.col(text_col)).alias("_d")).select(*cols, "_d.*")
+
+
 def op6_bpe(spark, sf_dir):
     return digests(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -44,16 +44,10 @@ def marginals(state: np.ndarray, starts: np.ndarray, trans: np.ndarray) -> tuple
     return log_z, node, pair
 
 
-def train(chains: list[tuple[np.ndarray, int]], steps: int = 600, rate: float = 0.1, l2: float = 1e-4,
-          run_lines: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """(weights (features, 2), transitions (2, 2)) from (features, label) chains."""
-    runs = [(x[k:k + run_lines], y) for x, y in chains for k in range(0, len(x), run_lines)]
-    x = np.concatenate([r[0] for r in runs]).astype(np.float64)
-    lens = np.array([len(r[0]) for r in runs])
-    starts = np.concatenate([[0], np.cumsum(lens)])
-    y = np.repeat([r[1] for r in runs], lens)
-    gold = np.eye(2)[y]
-    gold_pair = np.diag([(lens[np.array([r[1] for r in runs]) == k] - 1).sum() for k in (0, 1)]).astype(float)
+def climb(x: np.ndarray, starts: np.ndarray, gold: np.ndarray, gold_pair: np.ndarray, steps: int, rate: float,
+          l2: float) -> tuple[np.ndarray, np.ndarray]:
+    """(weights (features, 2), transitions (2, 2)) by Adam on the mean
+    conditional log-likelihood of labelled chains."""
     w, tr = np.zeros((x.shape[1], 2)), np.zeros((2, 2))
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(tr), np.zeros_like(tr)]
     for t in range(1, steps + 1):
@@ -68,6 +62,18 @@ def train(chains: list[tuple[np.ndarray, int]], steps: int = 600, rate: float =
     return w, tr
 
 
+def train(chains: list[tuple[np.ndarray, int]], steps: int = 600, rate: float = 0.1, l2: float = 1e-4,
+          run_items: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters from (features, label of all items) chains, long ones cut
+    into runs of ``run_items``."""
+    runs = [(x[k:k + run_items], y) for x, y in chains for k in range(0, len(x), run_items)]
+    x = np.concatenate([r[0] for r in runs]).astype(np.float64)
+    lens, labels = np.array([len(r[0]) for r in runs]), np.array([r[1] for r in runs])
+    starts = np.concatenate([[0], np.cumsum(lens)])
+    gold_pair = np.diag([float((lens[labels == k] - 1).sum()) for k in (0, 1)])
+    return climb(x, starts, np.eye(2)[np.repeat(labels, lens)], gold_pair, steps, rate, l2)
+
+
 def viterbi(state: np.ndarray, trans: np.ndarray) -> list[int]:
     """The most probable labels of one chain; ties go to label 0."""
     if not len(state):

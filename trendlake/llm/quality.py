@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_documents: int = N_DOCUMENTS) -> t
     chains = [(np.array(r["x"], np.float32).reshape(-1, N_FEATURES), r["y"]) for r in rows if r["x"]]
     if len({y for _, y in chains}) < 2:
         return np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    return train(chains, run_lines=RUN_LINES)
+    return train(chains, run_items=RUN_LINES)
 
 
 def score(docs: DataFrame, model, text_col: str = "text", out_col: str = "score") -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from trendlake.llm import bpe, mixing, quality, rollup, rules, simhash, topk, toxicity
+from trendlake.llm import bpe, html, mixing, quality, rollup, rules, simhash, suffix, topk, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_quality_rules": rules.op2_quality_rules,
     "op3_token_rollup": rollup.op3_token_rollup,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_repeats": suffix.op5_repeats,
     "op6_bpe": bpe.op6_bpe,
+    "op7_html": html.op7_html,
     "op8_simhash": simhash.op8_simhash,
     "op9_topk": topk.op9_topk,
     "op10_mixing": mixing.op10_mixing,

@@ -192,6 +192,14 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out_col
     return docs.withColumn(out_col, run(F.col(text_col)))
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, columns as given."""
+    model = fit(docs, labels)
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*cols).alias("_r"), F.col("text").alias("_t"))
+    return score(rows, model, "_t", "_s").where(F.col("_s") < threshold).select("_r.*")
+
+
 def op4_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(docs, labels)
