@@ -4,12 +4,14 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from trendlake import REFERENCE_ROLES as R
 from trendlake.operators.quality import quality_report
 from trendlake.sources import io
-from trendlake.sources.upsert import current_version, read_table, write_upsert
+from trendlake.sources.upsert import (current_version, keys_fit_broadcast, read_table, versions, write_upsert,
+                                      write_upsert_partitioned)
 from trendlake.streaming.ingest import ingest_stream
 
 
@@ -44,11 +46,6 @@ def test_csv_results_all_parts(spark, scratch):
     io.write_csv(df, out)
     back = io.read_result(spark, out, "id long, v long")
     assert back.count() == 100 and back.agg({"v": "sum"}).first()[0] == 9900
-    single = os.path.join(scratch, "single")
-    io.write_csv(df, single, single=True)
-    assert len([f for f in os.listdir(single) if f.startswith("part-")]) == 1
-    with pytest.raises(ValueError):
-        io.write_csv(df, os.path.join(scratch, "big"), single=True, max_single_rows=10)
 
 
 def test_write_json_and_register(spark, scratch):
@@ -78,6 +75,12 @@ def test_mark_roundtrip(spark, scratch):
     io.save_mark(df, R, path)
     ts, n = io.load_mark(spark, path)
     assert n == 2 and (ts.year, ts.month, ts.day) == (2024, 3, 2)
+    # neither an empty run nor an older batch nor a failed write moves the mark back
+    io.save_mark(df.limit(0), R, path)
+    io.save_mark(spark.createDataFrame([record(3, updated="2023-01-01T00:00:00Z")], io.ITEM_SCHEMA), R, path)
+    with pytest.raises(Exception):
+        io.save_mark(df.withColumn("updated_at", F.raise_error(F.lit("lost"))), R, path)
+    assert io.load_mark(spark, path) == (ts, n)
 
 
 def test_missing_input(spark, scratch):
@@ -94,7 +97,7 @@ def test_copy_on_write_upsert(spark, scratch):
     b2 = spark.createDataFrame([record(2, stars=20, updated="2024-02-01T00:00:00Z"), record(3, stars=3)],
                                io.ITEM_SCHEMA)
     v2 = write_upsert(spark, table, b2, "id", "updated_at", "2024-02-02 00:00:00")
-    assert v1 != v2 and current_version(table) == v2
+    assert v1 != v2 and current_version(spark, table) == v2
     got = {r.id: r.stars for r in read_table(spark, table).collect()}
     assert got == {1: 1, 2: 20, 3: 3}
     assert spark.read.parquet(v1).count() == 2  # the old version is untouched
@@ -117,9 +120,9 @@ def test_stream_ingest_in_two_runs_equals_one(spark, scratch):
     strip = lambda p: sorted(tuple(r) for r in read_table(spark, p).drop("ingested_at").collect())
     assert strip(t_one) == strip(t_two)
     # a run with no new files leaves the table as it is
-    before = current_version(t_two)
+    before = current_version(spark, t_two)
     ingest_stream(spark, src, t_two, ck, R, min_measure=50)
-    assert current_version(t_two) == before
+    assert current_version(spark, t_two) == before
 
 
 def test_partitioned_upsert_rewrites_only_touched_partitions(spark, scratch):
@@ -204,3 +207,77 @@ def test_partitioned_upsert_with_null_partition(spark, scratch):
     assert write_upsert_partitioned(spark, table, batch, "id", ["year"], "updated_at", "2024-02-02 00:00:00") == 1
     got = {r.id: (r.v, r.year) for r in spark.read.parquet(table).collect()}
     assert got == {1: (10, None), 2: (2, 2020)}
+
+
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_upserts_on_any_path_form(spark, scratch, scheme, monkeypatch, tmp_path_factory):
+    rows = [record(i, stars=i, created=f"{2020 + i % 2}-05-01T00:00:00Z") for i in range(6)]
+    first = spark.createDataFrame(rows, io.ITEM_SCHEMA).withColumn("year", F.substring("created_at", 1, 4).cast("int"))
+    one = first.where("id = 1").withColumn("stars", F.lit(100).cast("long"))
+    whole, parts = f"{scheme}{scratch}/whole", f"{scheme}{scratch}/parts"
+    for batch, stamp in ((first, "2024-01-01 00:00:00"), (one, "2024-02-01 00:00:00")):
+        monkeypatch.chdir(tmp_path_factory.mktemp("cwd"))
+        write_upsert(spark, whole, batch, "id", "updated_at", stamp)
+        write_upsert_partitioned(spark, parts, batch, "id", ["year"], "updated_at", stamp)
+    expected = {i: 100 if i == 1 else i for i in range(6)}
+    assert {r.id: r.stars for r in read_table(spark, whole).collect()} == expected
+    assert {r.id: r.stars for r in spark.read.parquet(parts).collect()} == expected
+
+
+def test_versions_are_kept_as_told(spark, scratch):
+    table = os.path.join(scratch, "t")
+    seen = [write_upsert(spark, table, spark.createDataFrame([record(i)], io.ITEM_SCHEMA), "id", "updated_at",
+                         keep_versions=3) for i in range(5)]
+    assert versions(spark, table) == seen[-3:]
+    assert read_table(spark, table).count() == 5
+    os.makedirs(os.path.join(table, "v-000000000099-torn"))  # no _SUCCESS: never read
+    assert current_version(spark, table) == seen[-1]
+
+
+def test_key_that_changes_partition_moves(spark, scratch):
+    table = os.path.join(scratch, "p")
+    schema = "id long, year int, name string, updated_at string"
+    first = spark.createDataFrame([(0, 2020, "a", "1"), (1, 2021, "b", "1"), (2, 2022, "c", "1")], schema)
+    write_upsert_partitioned(spark, table, first, "id", ["year"], "updated_at", "2024-01-01 00:00:00")
+    batch = spark.createDataFrame([(0, 2021, "moved", "2")], schema)
+    assert write_upsert_partitioned(spark, table, batch, "id", ["year"], "updated_at", "2024-02-01 00:00:00") == 2
+    got = sorted((r.id, r.year, r.name) for r in spark.read.parquet(table).collect())
+    assert got == [(0, 2021, "moved"), (1, 2021, "b"), (2, 2022, "c")]
+
+
+def test_many_touched_partitions_take_the_join(spark, scratch, monkeypatch):
+    from trendlake.sources import upsert as up
+    monkeypatch.setattr(up, "PRUNE_PARTITIONS", 2)
+    table, schema = os.path.join(scratch, "m"), "id long, part string, v int"
+    first = spark.createDataFrame([(i, f"p/{i}", 1) for i in range(5)] + [(9, None, 1)], schema)
+    write_upsert_partitioned(spark, table, first, "id", ["part"])
+    batch = spark.createDataFrame([(i, f"p/{i}", 2) for i in range(4)] + [(9, "p/1", 2)], schema)
+    write_upsert_partitioned(spark, table, batch, "id", ["part"])
+    got = sorted((r.id, r.part, r.v) for r in spark.read.parquet(table).collect())
+    assert got == [(0, "p/0", 2), (1, "p/1", 2), (2, "p/2", 2), (3, "p/3", 2), (4, "p/4", 1), (9, "p/1", 2)]
+
+
+def test_wide_keys_are_measured_in_bytes(spark):
+    wide = spark.range(200).select(F.repeat(F.lit("x"), 1000).alias("k"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+        assert not keys_fit_broadcast(wide) and keys_fit_broadcast(wide.limit(50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_stream_into_partitions_leaves_the_others(spark, scratch):
+    src, ck, table = (os.path.join(scratch, x) for x in ("in", "ck", "t"))
+    shape = lambda df: df.withColumn("year", F.substring("created_at", 1, 4).cast("int"))
+    run = lambda: ingest_stream(spark, src, table, ck, R, shape=shape, partition_by=["year"],
+                                ingested_at="2024-03-01 00:00:00")
+    write_array(os.path.join(src, "a.json"), [record(i, created=f"{2020 + i}-01-01T00:00:00Z") for i in range(3)])
+    run()
+    before = {y: sorted(os.listdir(os.path.join(table, f"year={y}"))) for y in (2020, 2021, 2022)}
+    write_array(os.path.join(src, "b.json"), [record(1, stars=7, created="2021-01-01T00:00:00Z",
+                                                     updated="2025-01-01T00:00:00Z")])
+    run()
+    after = {y: sorted(os.listdir(os.path.join(table, f"year={y}"))) for y in (2020, 2021, 2022)}
+    assert [y for y in before if before[y] != after[y]] == [2021]
+    assert {r.id: r.stars for r in spark.read.parquet(table).collect()}[1] == 7

@@ -89,22 +89,15 @@ def read_result(spark: SparkSession, path: str, schema: StructType | str | None
     return r.csv(path)
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False, max_single_rows: int = 1_000_000) -> None:
+def write_csv(df: DataFrame, path: str) -> None:
     """Overwrite a CSV result with a header.
 
     Array, map and struct columns (CSV has no such types) are written as
-    JSON strings.  ``single`` writes one part file through one task; it is
-    only allowed for report-sized results, checked against
-    ``max_single_rows`` first.
+    JSON strings.
     """
     nested = (ArrayType, MapType, StructType)
     out = df.select(*[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested)
                       else F.col(f.name) for f in df.schema.fields])
-    if single:
-        n = df.count()
-        if n > max_single_rows:
-            raise ValueError(f"{n} rows is too many for a single-file CSV (max {max_single_rows})")
-        out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -152,24 +145,29 @@ def register(df: DataFrame, name: str) -> DataFrame:
 # --- high-water mark -----------------------------------------------------------
 
 def load_mark(spark: SparkSession, path: str, mark_id: str = "fetch_checkpoint") -> tuple | None:
-    """(last_fetched_at, record_count) of the stored mark, None if absent."""
+    """(last_fetched_at, record_count) of the stored mark, None if absent.
+    Marks are appended, the latest time counts: the mark never goes back, and
+    an append that fails leaves the earlier ones as they are."""
     try:
-        rows = spark.read.schema(MARK_SCHEMA).parquet(path).where(F.col("_id") == mark_id).take(1)
+        marks = spark.read.schema(MARK_SCHEMA).parquet(path)
     except AnalysisException:
         return None
+    rows = (marks.where((F.col("_id") == mark_id) & F.col("last_fetched_at").isNotNull())
+            .orderBy(F.desc("last_fetched_at"), F.desc("record_count")).take(1))
     return (rows[0]["last_fetched_at"], rows[0]["record_count"]) if rows else None
 
 
 def save_mark(written: DataFrame, roles: Roles, path: str, mark_id: str = "fetch_checkpoint") -> DataFrame:
-    """Store the mark of data that *has been written*: the latest update
+    """Add the mark of data that *has been written*: the latest update
     time in it and its row count (one aggregate over the written rows, saved
-    after the write, so a failed write never advances the mark)."""
+    after the write, so a failed write never advances the mark).  A run that
+    wrote nothing, or no update time, adds no mark."""
     t = written.schema[roles.update_time].dataType
     upd = F.col(roles.update_time)
     upd = F.try_to_timestamp(upd) if isinstance(t, StringType) else upd.cast("timestamp")
     mark = written.agg(F.lit(mark_id).alias("_id"), F.max(upd).alias("last_fetched_at"),
-                       F.count(F.lit(1)).alias("record_count"))
-    mark.write.mode("overwrite").parquet(path)
+                       F.count(F.lit(1)).alias("record_count")).where("last_fetched_at is not null")
+    mark.write.mode("append").parquet(path)
     return mark
 
 

@@ -1,9 +1,9 @@
 """Keyed upsert of a batch into a table (S7, S8, J3) as a pure DataFrame
-function, plus a copy-on-write writer for directories of Parquet files."""
+function, plus two table writers for folders of Parquet files on any file
+system Spark can reach (paths are only ever opened through Spark / Hadoop)."""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from trendlake.operators.ingest import dedupe_first
 from trendlake.session import broadcast_threshold, ensure_checkpoint_dir
+from trendlake.sources.files import children, delete, exists
 
 STAMP = "ingested_at"
 
@@ -33,10 +34,22 @@ def latest_per_key(batch: DataFrame, key: str, update_time: str | None) -> DataF
     return dedupe_first(b, key, order, descending=True)
 
 
-def _key_broadcast_limit(spark: SparkSession) -> int:
-    """How many batch keys may be broadcast: the broadcast threshold divided by
-    a generous 64 bytes per key row (0 when broadcasting is disabled)."""
-    return max(0, broadcast_threshold(spark)) // 64
+def keys_fit_broadcast(keys: DataFrame) -> bool:
+    """Whether a frame of keys may be broadcast: its rows' bytes, measured in
+    one pass (16 bytes of row header and the value, as JSON text if nested),
+    against the broadcast threshold."""
+    width = F.lit(16)
+    for f in keys.schema.fields:
+        kind = f.dataType.simpleString()
+        c = F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            width = width + 8 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith(("struct", "array", "map")):
+            width = width + 8 + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            width = width + 16
+    size = keys.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return size <= max(0, broadcast_threshold(keys.sparkSession))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | None = None,
@@ -52,8 +65,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
 
     Plan.  An incremental batch is usually tiny next to the table, so the
     de-duplicated batch is written once with a reliable checkpoint and its
-    keys are counted.  When they fit the broadcast threshold
-    (``broadcast_keys=None``: decided by that count; ``True`` / ``False``
+    keys are measured.  When their bytes fit the broadcast threshold
+    (``broadcast_keys=None``: decided by that measure; ``True`` / ``False``
     force a plan) the untouched target rows pass through a broadcast anti
     join (map-only: the table is never shuffled) and only the matched rows
     are fetched with a broadcast semi join and merged with the batch.
@@ -67,10 +80,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, update_time: str | Non
     t_cols = [c for c in target.columns if c != key]
     out_cols = t_cols + [c for c in b_cols if c not in t_cols]
     if broadcast_keys is None:
-        # written once (reliable checkpoint): counted, then read by the merge
+        # written once (reliable checkpoint): measured, then read by the merge
         ensure_checkpoint_dir(b.sparkSession)
         b = b.checkpoint()
-        broadcast_keys = b.count() <= _key_broadcast_limit(b.sparkSession)
+        broadcast_keys = keys_fit_broadcast(b.select(key))
 
     bb = b.select(key, *[F.col(c).alias(f"_b_{c}") for c in b_cols], F.lit(True).alias("_b_hit"))
 
@@ -107,13 +120,15 @@ def upsert_stats(target: DataFrame, batch: DataFrame, key: str,
     * ``upserted_count`` batch keys new to the target (inserted by the upsert)
     * ``skipped_count``  batch rows without a key
 
-    As in ``upsert``, a batch whose keys fit the broadcast threshold fetches
-    the touched target rows with a broadcast semi join (no table shuffle).
+    As in ``upsert``, the de-duplicated batch is written once, and one whose
+    keys fit the broadcast threshold fetches the touched target rows with a
+    broadcast semi join (no table shuffle).
     """
-    b = latest_per_key(batch, key, update_time)
+    ensure_checkpoint_dir(batch.sparkSession)
+    b = latest_per_key(batch, key, update_time).checkpoint()
     shared = [c for c in b.columns if c != key and c in target.columns and c != STAMP]
     t_side = target
-    if b.count() <= _key_broadcast_limit(b.sparkSession):
+    if keys_fit_broadcast(b.select(key)):
         # only the target rows the batch touches, found map-side
         t_side = target.join(F.broadcast(b.select(key)), on=key, how="left_semi")
     tt = t_side.select(key, *[F.col(c).alias(f"_t_{c}") for c in shared], F.lit(True).alias("_t_hit"))
@@ -130,89 +145,126 @@ def upsert_stats(target: DataFrame, batch: DataFrame, key: str,
     return counts.select("*", skipped.alias("skipped_count"))
 
 
-# --- copy-on-write table directory ------------------------------------------
+# --- copy-on-write table folder -----------------------------------------------
 
-POINTER = "_CURRENT"
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of a copy-on-write table, oldest first: the ``v-*``
+    folders with Spark's ``_SUCCESS`` marker, which the committer writes last
+    (a torn write has none and is never read)."""
+    return [v for v in children(spark, path, "v-") if exists(spark, f"{v}/_SUCCESS")]
 
 
-def current_version(path: str) -> str | None:
-    """Directory of the current version of a copy-on-write table, or None."""
-    p = os.path.join(path, POINTER)
-    if not os.path.exists(p):
-        return None
-    with open(p, encoding="utf-8") as fh:
-        name = fh.read().strip()
-    return os.path.join(path, name) if name else None
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Folder of the current version of a copy-on-write table, or None."""
+    found = versions(spark, path)
+    return found[-1] if found else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    v = current_version(path)
+    v = current_version(spark, path)
     return spark.read.parquet(v) if v else None
 
 
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: str,
                  update_time: str | None = None, ingested_at=None,
-                 partition_by: Sequence[str] = ()) -> str:
+                 partition_by: Sequence[str] = (), keep_versions: int = 2) -> str:
     """Upsert ``batch`` into the table at ``path`` and return the new version.
 
-    The new table is written to a fresh version directory; only after the
-    write has succeeded does the ``_CURRENT`` pointer move (atomic rename), so
-    a failed or retried job never leaves a half-written table behind, and a
-    reader always sees one complete version.  No table format with MERGE is
-    installed here; with one (Delta / Iceberg) this becomes ``MERGE INTO``.
+    The new table is written to a fresh version folder, which readers see
+    only once it is complete; a failed or retried job never exposes a
+    half-written table.  The last ``keep_versions`` versions stay (at least
+    the new one and, for readers that have opened it, the one before), older
+    ones are deleted after the write.  One writer at a time is assumed.  The whole
+    table is rewritten: large tables use ``write_upsert_partitioned``.
     """
-    os.makedirs(path, exist_ok=True)
     old = read_table(spark, path)
     if old is None:
         new = latest_per_key(batch, key, update_time).withColumn(STAMP, _stamp(ingested_at))
     else:
         new = upsert(old, batch, key, update_time, ingested_at)
-    name = f"v-{datetime.now(timezone.utc).strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    known = versions(spark, path)
+    number = int(known[-1].rsplit("/v-", 1)[1].split("-")[0]) + 1 if known else 0
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
+    version = f"{path.rstrip('/')}/v-{number:012d}-{stamp}-{uuid.uuid4().hex[:8]}"
     w = new.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, name))
-    tmp = os.path.join(path, f".{POINTER}.{uuid.uuid4().hex}")
-    with open(tmp, "w", encoding="utf-8") as fh:
-        fh.write(name)
-    os.replace(tmp, os.path.join(path, POINTER))
-    return os.path.join(path, name)
+    w.parquet(version)
+    for stale in known[:max(0, len(known) + 1 - max(2, keep_versions))]:
+        delete(spark, stale)
+    return version
+
+
+def _among(columns: Sequence[str], rows) -> F.Column:
+    """Rows whose ``columns`` equal one of ``rows`` (nulls equal nulls)."""
+    cond = F.lit(False)
+    for row in rows:
+        match = F.lit(True)
+        for c in columns:
+            match = match & (F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c])))
+        cond = cond | match
+    return cond
+
+
+PRUNE_PARTITIONS = 1000
 
 
 def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: str,
                              partition_by: Sequence[str], update_time: str | None = None,
-                             ingested_at=None, max_partitions: int = 10_000) -> int:
+                             ingested_at=None) -> int:
     """Upsert ``batch`` into a partitioned Parquet table, rewriting only the
     partitions the batch touches; returns how many partitions were touched.
 
-    The partition columns must not change for a key (e.g. the creation year):
-    a key's old row is looked for only in the partition its batch row names.
-    The touched partition values are counted first and refused beyond
-    ``max_partitions`` (so the list taken to the driver for partition pruning
-    is bounded); only those partitions are read (static pruning) and
-    replaced (dynamic partition overwrite), every other partition's files
-    are left as they are.  Each partition is replaced by a directory rename
-    at job commit: atomic per partition, not across partitions.
+    Touched are the partitions the batch rows name and those that hold the
+    batch's keys now (found by a scan of key and partition columns only), so a
+    key whose partition value changes moves: its old row goes.  Touched
+    partitions are read by static pruning when they are few (up to
+    ``PRUNE_PARTITIONS`` values become a predicate), else by a semi join with
+    their values over the whole table - the same rows either way.  They are
+    replaced by dynamic partition overwrite; every other partition's files
+    stay.  A partition that loses its last row is deleted after the write.
+    Each partition is replaced on its own: atomic per partition, not across.
     """
-    fresh = latest_per_key(batch, key, update_time)
-    parts_df = fresh.select(*partition_by).distinct()
-    n = parts_df.count()
-    if n > max_partitions:
-        raise ValueError(f"batch touches {n} partitions (max {max_partitions})")
+    ensure_checkpoint_dir(spark)
+    fresh = latest_per_key(batch, key, update_time).checkpoint()
+    cols = list(partition_by)
     writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not os.path.exists(path):
+    parts = fresh.select(*cols).distinct()
+    if not exists(spark, path):
         (fresh.withColumn(STAMP, _stamp(ingested_at)).write.mode("overwrite").options(**writer_opts)
-         .partitionBy(*partition_by).parquet(path))
-        return n
-    cond = F.lit(False)
-    for row in parts_df.collect():
-        match = F.lit(True)
-        for c in partition_by:
-            v = row[c]
-            match = match & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-        cond = cond | match
-    touched = spark.read.parquet(path).where(cond)
-    new = upsert(touched, batch, key, update_time, ingested_at)
-    (new.hint("rebalance", *partition_by).write.mode("overwrite").options(**writer_opts)
-     .partitionBy(*partition_by).parquet(path))
+         .partitionBy(*cols).parquet(path))
+        return parts.count()
+    table = spark.read.parquet(path)
+    keys = fresh.select(key)
+    if keys_fit_broadcast(keys):
+        keys = F.broadcast(keys)
+    held = table.select(key, *cols).join(keys, key, "left_semi").select(*cols)
+    types = {f.name: f.dataType for f in fresh.schema.fields}
+    parts = parts.unionByName(held.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])).distinct().checkpoint()
+    n = parts.count()
+    if n <= PRUNE_PARTITIONS:
+        touched = table.where(_among(cols, parts.collect()))
+    else:
+        named = parts.select(*[F.col(c).alias(f"_p_{c}") for c in cols])
+        on = F.lit(True)
+        for c in cols:
+            on = on & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+        touched = table.join(named, on, "left_semi")
+    new = upsert(touched, batch, key, update_time, ingested_at).checkpoint()
+    (new.hint("rebalance", *cols).write.mode("overwrite").options(**writer_opts)
+     .partitionBy(*cols).parquet(path))
+    emptied = parts.join(new.select(*[F.col(c).alias(f"_n_{c}") for c in cols]).distinct(),
+                         [F.col(c).eqNullSafe(F.col(f"_n_{c}")) for c in cols], "left_anti")
+    for row in emptied.toLocalIterator():
+        delete(spark, path.rstrip("/") + "".join(f"/{_partition_folder(c, row[c])}" for c in cols))
     return n
+
+
+_ESCAPED = "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))
+
+
+def _partition_folder(column: str, value) -> str:
+    """Folder name of a partition value, escaped as Spark's writers do."""
+    esc = lambda x: "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in x)
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else esc(str(value))
+    return f"{esc(column)}={text}"

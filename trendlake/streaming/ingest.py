@@ -4,7 +4,7 @@ The original "incremental mode" is a scheduled batch that remembers a
 timestamp.  Here the file source's checkpoint remembers which input files
 have been processed, ``trigger(availableNow=True)`` processes everything new
 and stops (a scheduled run), and every micro-batch is filtered, de-duplicated
-and upserted into a copy-on-write Parquet table.
+and upserted into a Parquet table (touched partitions only, or copy-on-write).
 
 ``foreachBatch`` is at-least-once: a batch replayed after a failure is
 upserted again, which is harmless because the upsert is keyed and the newest
@@ -14,7 +14,7 @@ from ``ingested_at``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +23,23 @@ from pyspark.sql.types import StructType
 
 from trendlake.roles import Roles
 from trendlake.sources.io import ITEM_SCHEMA
-from trendlake.sources.upsert import write_upsert
+from trendlake.sources.upsert import write_upsert, write_upsert_partitioned
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str, roles: Roles,
                   schema: StructType = ITEM_SCHEMA, source_format: str = "json", min_measure=None,
                   shape: Callable[[DataFrame], DataFrame] | None = None, ingested_at=None,
-                  options: dict | None = None, wait: bool = True) -> StreamingQuery:
+                  options: dict | None = None, wait: bool = True, partition_by: Sequence[str] = (),
+                  keep_versions: int = 2) -> StreamingQuery:
     """Take the input files added since the last run, keep rows with
     ``measure > min_measure``, apply ``shape`` (e.g. ``flatten_items``),
     upsert by ``roles.key`` (latest ``roles.update_time`` wins) into the
     table at ``target``; the position is kept in ``checkpoint``.
 
+    With ``partition_by`` the table is partitioned and a batch rewrites only
+    the partitions it touches; without, each batch writes a new version of
+    the table and ``keep_versions`` of them are kept.
+
     ``source_format="json"`` reads JSON-array files (``multiLine``).
     """
     reader = spark.readStream.schema(schema).format(source_format)
@@ -52,7 +57,12 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
             rows = shape(rows)
         if rows.isEmpty():
             return
-        write_upsert(rows.sparkSession, target, rows, roles.key, roles.update_time, ingested_at)
+        if partition_by:
+            write_upsert_partitioned(rows.sparkSession, target, rows, roles.key, partition_by, roles.update_time,
+                                     ingested_at)
+        else:
+            write_upsert(rows.sparkSession, target, rows, roles.key, roles.update_time, ingested_at,
+                         keep_versions=keep_versions)
 
     q = (stream.writeStream.foreachBatch(upsert_batch)
          .option("checkpointLocation", checkpoint)
