@@ -115,3 +115,13 @@ def test_graph_metrics_degree_matches_degree_query(spark):
     a = {r.node: r.degree_centrality for r in gr.graph_metrics(edges, k=5).collect()}
     b = {r.node: r.degree_centrality for r in gr.degree_centrality(edges).collect()}
     assert a == b
+
+
+def test_hot_node_buckets_hold_a_fixed_number_of_rows(spark):
+    hub = spark.createDataFrame([("hub", f"x{i:04d}", "e") for i in range(1000)], "src string, dst string, edge_type string")
+    adj = gr._adjacency(hub).select(F.xxhash64("u").alias("u"), F.xxhash64("w").alias("w"))
+    deg = adj.groupBy("u").agg(F.count(F.lit(1)).alias("deg"))
+    for limit in (1 << 20, -1):  # hot table broadcast, or joined
+        rows, hot = gr.salted_adjacency(adj, deg, 100, limit)
+        sizes = [r["n"] for r in rows.groupBy("u", "asalt").agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert hot.count() == 1 and sum(sizes) == 2000 and max(sizes) <= 160

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.roles import (COUNT_COL, MONTH_COL, MONTH_METRIC, RAW_METRIC_PREFIX, TAG_METRIC,
@@ -150,7 +150,7 @@ def as_metric(df: DataFrame, metric: str, label_col: str, out_label: str) -> Dat
 
 
 def long_report(base: DataFrame, roles: Roles, tags: Iterable = ("ai", "web", "blockchain"),
-                min_measure=500, digits: int | None = None) -> DataFrame:
+                min_measure=500, digits: int | None = None, tagged: DataFrame | None = None) -> DataFrame:
     """Month trend per category  UNION ALL  month trend per target tag
     UNION ALL  every row with measure >= ``min_measure`` as a count-1 row
     (``unionByName`` keeps duplicates).
@@ -159,13 +159,13 @@ def long_report(base: DataFrame, roles: Roles, tags: Iterable = ("ai", "web", "b
     (shuffling only per-task partial rows) and one map-only branch.  For an
     item table that carries its tags this is cheaper than any single-pass
     form, which would have to shuffle every qualifying row to keep the three
-    sections apart.  When ``base`` is itself an expensive join at scale,
-    write it once (``checkpoint()`` or a table) and pass the written frame.
+    sections apart.  When the tags come from a join, pass the joined rows as
+    ``tagged``: the other two sections then read ``base`` alone.
     """
     cat = roles.category
     month_trend = category_year_month(base, roles, digits)
-    tag_trend = tag_stats(base, roles, keys=[YEAR_COL, MONTH_COL], only=tags, tag_name="_tag",
-                          digits=digits, ordered=False)
+    tag_trend = tag_stats(base if tagged is None else tagged, roles, keys=[YEAR_COL, MONTH_COL], only=tags,
+                          tag_name="_tag", digits=digits, ordered=False)
     measure = F.col(roles.measure)
     rows = (base.where(measure >= F.lit(min_measure))
             .select(cat, YEAR_COL, MONTH_COL, F.lit(1).cast("long").alias(COUNT),
@@ -208,17 +208,17 @@ def quantile(df: DataFrame, col: str, q: float, approx: bool = False, accuracy:
     return df.agg(agg).scalar()
 
 
-def pivot_mean(df: DataFrame, index: str, columns: str, values: str,
-               column_values: Sequence, digits: int | None = 2) -> DataFrame:
+def pivot_mean(df: DataFrame, index: str, columns: str, values: str, digits: int | None = 2) -> DataFrame:
     """``index`` x ``columns`` table of mean ``values``.
 
-    The pivot values are passed in, so Spark does not run an extra distinct
-    job to discover them and the output schema is fixed.
-    """
+    The pivot values are the distinct ones of ``df``, in order (an aggregated
+    table, so the distinct job is small); no value can be left out."""
     agg = F.avg(values)
     if digits is not None:
         agg = F.round(agg, digits)
-    return df.groupBy(index).pivot(columns, list(column_values)).agg(agg)
+    found = df.groupBy(index, columns).agg(agg.alias(values))
+    names = [r[0] for r in found.select(columns).distinct().orderBy(columns).collect()]
+    return found.groupBy(index).pivot(columns, names).agg(F.first(values))
 
 
 def leader(totals: DataFrame, tags: DataFrame, category: str, total_col: str = TOTAL,
@@ -232,12 +232,9 @@ def leader(totals: DataFrame, tags: DataFrame, category: str, total_col: str = T
     return lead_cat.unionByName(lead_tag)
 
 
-def run_metrics(outputs: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count of every named output, one row each (a union of global
-    counts; each count is a partial + final aggregate over its own plan)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("output"), "row_count") for name, df in outputs.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def run_metrics(spark: SparkSession, counts: Mapping[str, int], run_at: str) -> DataFrame:
+    """Output name, row count and run time, one row per written output;
+    the counts are those observed during the writes (``io.write_observed``)."""
+    rows = [(name, int(n)) for name, n in counts.items()]
+    return (spark.createDataFrame(rows, "output string, row_count long")
+            .withColumn("timestamp_utc", F.lit(run_at).cast("timestamp_ntz")))

@@ -2,7 +2,7 @@
 
 The original step embeds text with a pretrained sentence encoder; no weights
 are available here, so C1 is re-aimed at a distributed TF-IDF pipeline
-(tokenize -> hashed term frequencies -> IDF -> L2 normalisation) over the
+(Unicode tokens -> hashed term frequencies -> IDF -> L2 normalisation) over the
 whole texts, or at an existing ``array<float>`` embedding column.  K-means is
 Spark ML's distributed implementation (k-means|| initialisation); the
 "10 restarts" of the original become 10 seeds, keeping the fit with the
@@ -25,56 +25,62 @@ from trendlake.roles import YEAR_COL, Roles
 from trendlake.session import ensure_checkpoint_dir
 
 FEATURES = "features"
-SMALL_FIT_ROWS = 1_000_000
+ROWS_PER_PARTITION = 20_000
+MIN_PARTITIONS = 8
+# A token: a run of letters, combining marks, digits and underscores of any script.
+TOKEN_GAPS = r"[^\p{L}\p{M}\p{N}_]+"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition when the input has fewer partitions than task
-    slots (a small file of long texts is one scan split, but tokenising and
-    k-means are CPU-bound per row).  Large inputs keep their scan splits."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): keep the scan splits
-        return df
-    return df.repartition(slots) if parts < slots else df
-
+def term_counts(df: DataFrame, text_col: str, num_features: int, out_col: str = "_tf") -> DataFrame:
+    """The one tokenizer of C1: lower-cased tokens of the whole text, hashed
+    term frequencies in ``out_col``; the text is dropped."""
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_GAPS, minTokenLength=1)
+    tf = HashingTF(inputCol="_tokens", outputCol=out_col, numFeatures=num_features)
+    return tf.transform(tok.transform(df.fillna("", [text_col]))).drop("_tokens", text_col)
 
-def text_features(df: DataFrame, text_col: str, num_features: int = 1 << 14,
-                  out_col: str = FEATURES) -> DataFrame:
-    """L2-normalised TF-IDF vector of ``text_col`` (whole text, no prefix).
 
-    Lazy apart from the IDF fit (one distributed document-frequency pass);
-    ``cluster`` persists the result for its k-means fits.
-    """
-    df = spread(df)
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", minTokenLength=1)
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
-    counts = tf.transform(tok.transform(df)).drop("_tokens", text_col)
-    idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts)
-    norm = Normalizer(inputCol="_tfidf", outputCol=out_col, p=2.0)
-    return norm.transform(idf.transform(counts)).drop("_tf", "_tfidf")
+def token_stats(df: DataFrame, text_col: str) -> DataFrame:
+    """token, n_tokens, n_rows: occurrences of every token of C1 and the rows
+    it occurs in (both partial aggregates)."""
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), TOKEN_GAPS, -1), lambda t: t != "")
+    per_row = df.select(words.alias("_w")).select(
+        F.explode(F.transform(F.array_distinct("_w"), lambda t: F.struct(
+            t.alias("token"), F.lit(1).cast("long").alias("one")))).alias("_t"))
+    rows = per_row.groupBy("_t.token").agg(F.sum("_t.one").alias("n_rows"))
+    every = df.select(F.explode(words).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n_tokens"))
+    return every.join(rows, "token").select("token", "n_tokens", "n_rows")
 
 
 def cluster_texts(df: DataFrame, text_col: str, num_features: int = 1 << 14, k: int | None = None,
                   seed: int = 42, restarts: int = 10, max_iter: int = 20,
-                  out_col: str = "cluster_id") -> DataFrame:
-    """C1 + C2 with every text tokenised once: the hashed term counts are
-    persisted, the IDF weights fitted from them, the normalised TF-IDF
-    vectors materialised from the cached counts (which are then released)
-    and clustered by ``cluster``.  All columns but the text are kept."""
-    df = spread(df)
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern="\\W+", minTokenLength=1)
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
-    counts = tf.transform(tok.transform(df)).drop("_tokens", text_col).persist(StorageLevel.MEMORY_AND_DISK)
+                  out_col: str = "cluster_id", key: str | None = None) -> DataFrame:
+    """C1 + C2 with every text tokenised once: L2-normalised TF-IDF vectors of
+    the whole texts, clustered by ``cluster``.  The hashed term counts are
+    persisted while the IDF weights are fitted and the vectors made from
+    them.  All columns but the text are kept."""
+    counts = canonical(term_counts(df, text_col, num_features), key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if counts.isEmpty():
+            return counts.drop("_tf").withColumn(out_col, F.lit(None).cast("int"))
         idf = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts)
         norm = Normalizer(inputCol="_tfidf", outputCol=FEATURES, p=2.0)
         feats = norm.transform(idf.transform(counts)).drop("_tf", "_tfidf").persist(StorageLevel.MEMORY_AND_DISK)
         feats.count()
     finally:
         counts.unpersist()
-    return cluster(feats, FEATURES, k=k, seed=seed, restarts=restarts, max_iter=max_iter, out_col=out_col)
+    return _cluster(feats, FEATURES, k, seed, restarts, max_iter, out_col)
+
+
+def canonical(df: DataFrame, key: str | None = None) -> DataFrame:
+    """``df`` in a layout that its rows alone decide: hash partitions by
+    ``key`` (default: the first column), their number from the row count, rows
+    in order inside.  k-means sums and samples by partition, so equal rows then
+    give equal clusters whatever the input's splits or the cluster's cores."""
+    key = key or df.columns[0]
+    order = [key] + [f.name for f in df.schema.fields
+                     if f.name != key and f.dataType.simpleString() in ("string", "bigint", "int", "double", "float")]
+    parts = max(MIN_PARTITIONS, -(-df.count() // ROWS_PER_PARTITION))
+    return df.repartition(parts, F.xxhash64(key)).sortWithinPartitions(*order)
 
 
 def embedding_features(df: DataFrame, array_col: str, out_col: str = FEATURES) -> DataFrame:
@@ -88,39 +94,34 @@ def default_k(n: int) -> int:
 
 
 def cluster(df: DataFrame, features_col: str = FEATURES, k: int | None = None, seed: int = 42,
-            restarts: int = 10, max_iter: int = 20, out_col: str = "cluster_id") -> DataFrame:
+            restarts: int = 10, max_iter: int = 20, out_col: str = "cluster_id", key: str | None = None) -> DataFrame:
     """K-means cluster id per row (all columns but the features kept).
 
     The restarts (seeds ``seed .. seed + restarts - 1``) are submitted as
-    concurrent Spark jobs; the fit with the lowest training cost wins (ties:
-    lowest seed).  The features are persisted (memory, spilling to disk) only
-    while the fits run; the assignments are written with a reliable
-    ``checkpoint()`` before the cache is released, so the result neither
-    recomputes the features nor pins them in memory.
+    concurrent Spark jobs over all task slots; the fit with the lowest training
+    cost wins (rounded to 9 significant digits; ties: lowest seed).  The
+    features are persisted (memory, spilling to disk) only while the fits run;
+    the assignments are written with a reliable ``checkpoint()`` before the
+    cache is released, so the result neither recomputes the features nor pins
+    them in memory.
     """
+    return _cluster(canonical(df, key), features_col, k, seed, restarts, max_iter, out_col)
+
+
+def _cluster(df: DataFrame, features_col: str, k, seed: int, restarts: int, max_iter: int, out_col: str) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     feats = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = feats.count()
         if n == 0:
             return feats.drop(features_col).withColumn(out_col, F.lit(None).cast("int"))
-        k = k or default_k(n)
-        k = max(1, min(k, n)) if n else 1
+        k = max(1, min(k or default_k(n), n))
         runs = max(1, restarts)
-        fit_input = feats
-        if n <= SMALL_FIT_ROWS:
-            # Small input: job overhead dominates, and the concurrent restarts
-            # already use the task slots, so each fit gets its share of them.
-            try:
-                slots = df.sparkSession.sparkContext.defaultParallelism
-                fit_input = feats.coalesce(max(1, slots // runs))
-            except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-                pass
 
         def fit(i: int):
             model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col,
-                           predictionCol=out_col).fit(fit_input)
-            return model.summary.trainingCost, i, model
+                           predictionCol=out_col).fit(feats)
+            return float(f"{model.summary.trainingCost:.9g}"), i, model
 
         with ThreadPoolExecutor(max_workers=runs) as pool:
             results = list(pool.map(fit, range(runs)))

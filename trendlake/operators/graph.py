@@ -13,8 +13,6 @@ tasks; no node's adjacency list is ever gathered into one task.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,25 +56,44 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
 
 def _with_salt(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Replicate rows whose ``key`` is a hot node once per salt value of that node."""
-    j = df.join(F.broadcast(hot), df[key] == hot["_hot"], "left")
+    j = df.join(hot, F.col(key) == F.col("_hot"), "left")
     n_salts = F.coalesce(F.col("_nsalt"), F.lit(1))
     return j.withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))).drop("_hot", "_nsalt")
 
 
 def sample_sources(nodes: DataFrame, k: int, seed: int) -> DataFrame:
-    """The ``k`` nodes with the smallest seeded 64-bit hash (ties by name):
-    a deterministic, uniform-looking sample chosen without a driver round trip."""
-    h = F.xxhash64(F.lit(int(seed)), F.col("node"))
+    """The ``k`` nodes with the smallest md5 of "seed:node" (ties by name): a
+    deterministic, uniform-looking sample chosen without a driver round trip."""
+    h = F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col("node")).cast("binary"))
     return nodes.orderBy(h, F.col("node")).limit(k).select(F.col("node").alias("s"))
 
 
+HOT_DEGREE = 100_000
+
+
+def salted_adjacency(adj: DataFrame, deg: DataFrame, hot_degree: int, broadcast_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The adjacency list (u, w, asalt) with the rows of every node of
+    ``hot_degree`` or more spread over ``ceil(degree / hot_degree)`` salts, and
+    the table of those nodes (_hot, _nsalt), to be broadcast only if it fits."""
+    hot = deg.where(F.col("deg") >= hot_degree).select(
+        F.col("u").alias("_hot"), F.ceil(F.col("deg") / hot_degree).cast("int").alias("_nsalt")).checkpoint()
+    if hot.count() * 32 <= broadcast_bytes:
+        hot = F.broadcast(hot)
+    spread = (adj.join(hot, F.col("u") == F.col("_hot"), "left")
+              .select("u", "w", F.when(F.col("_nsalt").isNull(), F.lit(0))
+                      .otherwise(F.pmod(F.xxhash64("w"), F.col("_nsalt"))).cast("int").alias("asalt"))
+              .repartition("u", "asalt").checkpoint())
+    return spread, hot
+
+
 def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalized: bool = True,
                 hot_degree: int | None = None, with_degree: bool = False) -> DataFrame:
     """Betweenness centrality from ``min(k, n)`` sampled sources.
 
     Scaling as in the classic sampled estimator: for normalized scores
     ``1 / ((n-1)(n-2)) * n / k`` (0 for n <= 2), else ``1/2 * n / k``.  With
-    ``k >= n`` every node is a source and the result is exact.
+    ``k >= n`` every node is a source and the result is exact; the state then
+    holds n x n rows, so keep ``k`` fixed on large graphs.
 
     Per BFS level: expand the frontier over the adjacency list, then one
     grouped aggregate over (expansion UNION the two previous levels) both
@@ -87,11 +104,12 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
     the degree table; when it fits ``spark.sql.autoBroadcastJoinThreshold``
     it is broadcast (no shuffle, no skew).  Beyond that it is joined by a
     shuffle on pre-partitioned data, with hot nodes salted: a node with
-    ``degree >= hot_degree`` (default max(1000, 2m/1000)) has its adjacency
-    rows spread over ``ceil(degree / hot_degree)`` buckets and frontier rows
-    reaching it are replicated per bucket, so no task holds more than about
-    ``hot_degree`` adjacency rows of one node.  The hot table has at most
-    2m / hot_degree <= 1000 rows, which bounds what is broadcast for it.
+    ``degree >= hot_degree`` (a fixed ``HOT_DEGREE`` by default, whatever the
+    graph's size) has its adjacency rows spread over
+    ``ceil(degree / hot_degree)`` buckets and frontier rows reaching it are
+    replicated per bucket, so a bucket holds about ``hot_degree`` adjacency
+    rows of one node.  The table of hot nodes is broadcast when its counted
+    rows fit the threshold, else joined.
     Node names are replaced by 64-bit ids for the iteration (a
     collision-checked hash of the name; an exact numbering if it collides).
     Every level is checkpointed to the reliable checkpoint directory
@@ -134,13 +152,7 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
         def expand(df: DataFrame, key: str, value: str) -> DataFrame:
             return df.join(adj_b, df[key] == adj_b["u"]).select("s", F.col("w").alias("v"), value)
     else:
-        threshold = hot_degree or max(1000, math.ceil(m2 / 1000))
-        hot = deg.where(F.col("deg") >= threshold).select(
-            F.col("u").alias("_hot"), F.ceil(F.col("deg") / threshold).cast("int").alias("_nsalt"))
-        adj_s = (adj.join(F.broadcast(hot), adj["u"] == hot["_hot"], "left")
-                 .select("u", "w", F.when(F.col("_nsalt").isNull(), F.lit(0))
-                         .otherwise(F.pmod(F.xxhash64("w"), F.col("_nsalt"))).cast("int").alias("asalt"))
-                 .repartition("u", "asalt").checkpoint())
+        adj_s, hot = salted_adjacency(adj, deg, hot_degree or HOT_DEGREE, limit)
 
         def expand(df: DataFrame, key: str, value: str) -> DataFrame:
             return (_with_salt(df, key, hot)
@@ -200,12 +212,15 @@ def betweenness(edges: DataFrame, k: int | None = 100, seed: int = 42, normalize
                       (F.coalesce(F.col("_b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness_centrality"))
 
 
-def graph_metrics(edges: DataFrame, k: int | None = 100, seed: int = 42) -> DataFrame:
+def graph_metrics(edges: DataFrame, k: int | None = 100, seed: int = 42, digits: int | None = None) -> DataFrame:
     """G4 (J4, O7): degree and betweenness centrality per node, highest degree
-    first.  The degrees come from the betweenness run's own degree table
+    first (betweenness rounded to ``digits``: its last bits depend on the
+    order of the sums).  The degrees come from the betweenness run's own degree table
     (one adjacency aggregation for both measures)."""
     btw = betweenness(edges, k=k, seed=seed, with_degree=True)
     n = btw.agg(F.count(F.lit(1))).scalar()
     deg_c = F.when(n > 1, F.col("degree") / (n - 1)).otherwise(F.lit(1.0))
-    return (btw.select("node", deg_c.alias("degree_centrality"), "betweenness_centrality")
+    score = F.col("betweenness_centrality")
+    score = F.round(score, digits) if digits is not None else score
+    return (btw.select("node", deg_c.alias("degree_centrality"), score.alias("betweenness_centrality"))
             .orderBy(F.desc("degree_centrality"), F.asc("node")))

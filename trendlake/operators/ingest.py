@@ -117,18 +117,27 @@ def backfill_slice(df: DataFrame, roles: Roles, first_year: int, last_year: int,
     return df.where((t >= lo) & (t < hi) & (F.col(roles.measure) > F.lit(min_measure)))
 
 
+TOP_BUCKETS = 64
+
+
 def top_n_per_year(df: DataFrame, roles: Roles, n: int) -> DataFrame:
     """I4: per event year, the ``n`` rows with the largest measure (ties by key).
 
-    ``row_number() <= n`` is planned with a partial ``WindowGroupLimit`` before
-    the shuffle: each map task sends at most ``n`` rows per year, so a year
-    holding most of the data does not move into one task.
+    Two steps: the top n of every (year, hash bucket of the key), then the top
+    n of those per year.  Both are planned with a partial ``WindowGroupLimit``
+    before the shuffle (a map task sends at most ``n`` rows per group), so a
+    year that holds most of the data is ranked by ``TOP_BUCKETS`` tasks and its
+    last window sees at most ``TOP_BUCKETS * n`` rows.
     """
     t = event_ts(df, roles.event_time)
-    w = Window.partitionBy(YEAR_COL).orderBy(F.desc(roles.measure), F.asc(roles.key))
-    return (df.withColumn(YEAR_COL, F.year(t))
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= n).drop("_rn"))
+    order = [F.desc(roles.measure), F.asc(roles.key)]
+    bucket = F.pmod(F.xxhash64(roles.key), F.lit(TOP_BUCKETS))
+    in_bucket = Window.partitionBy(YEAR_COL, "_bucket").orderBy(*order)
+    in_year = Window.partitionBy(YEAR_COL).orderBy(*order)
+    return (df.withColumns({YEAR_COL: F.year(t), "_bucket": bucket})
+            .withColumn("_rn", F.row_number().over(in_bucket)).where(F.col("_rn") <= n)
+            .withColumn("_rn", F.row_number().over(in_year)).where(F.col("_rn") <= n)
+            .drop("_rn", "_bucket"))
 
 
 def dedupe_first(df: DataFrame, key: str, order: Sequence[str], descending: bool = False) -> DataFrame:

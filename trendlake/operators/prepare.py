@@ -27,11 +27,6 @@ def base_table(df: DataFrame, roles: Roles, keep_null_category: bool = False) ->
     return out.withColumns({TS_COL: ts, YEAR_COL: F.year(ts), MONTH_COL: F.month(ts)})
 
 
-def pick(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Projection."""
-    return df.select(*cols)
-
-
 def keep_in(df: DataFrame, col: str, values: Iterable) -> DataFrame:
     """Membership; an empty value list means no filtering."""
     values = list(values)

@@ -55,8 +55,3 @@ def quality_report(df: DataFrame, expected: Iterable[str] | None = None, key: st
     missing, extra = schema_drift(cols, expected)
     return df.agg(*aggs).select("*", missing.alias("schema_missing_columns"),
                                 extra.alias("schema_extra_columns"))
-
-
-def missing_input_report(spark, message: str) -> DataFrame:
-    """The one-row error record the quality step writes when its input is missing."""
-    return spark.createDataFrame([(message,)], "error string")

@@ -6,7 +6,9 @@ whole input tables.  ``trendlake.plans.oracle`` holds the equivalent SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from trendlake.operators.quality import quality_report
 from trendlake.operators.window import yoy_growth
 from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, LINEITEM, ORDERS, PART,
                                     lineitem_with_tags, part_with_tags, table)
+from trendlake.session import ensure_checkpoint_dir
+from trendlake.sources import io
 from trendlake.sources.upsert import upsert, upsert_stats
 
 # Fixed parameters of the catalogue queries.
@@ -34,7 +38,6 @@ GROWTH_CATEGORIES = ("1-URGENT", "2-HIGH", "5-LOW")
 TOTALS_MINIMUM = 85000
 TOTALS_CATEGORIES = ("Brand#2", "Brand#3", "Brand#4", "Brand#10", "Brand#19")
 FILTER_TAGS = ("red", "blue", "gear", "anvil")
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 ANOMALY_Q = 0.9
 ANOMALY_N = 10
 TOP_TAGS = 10
@@ -54,6 +57,7 @@ BETWEENNESS_K = 100
 GRAPH_SEED = 42
 CLUSTER_SEED = 42
 CLUSTER_RESTARTS = 10
+RUN_AT = "2024-01-01 00:00:00"
 RUN_METRIC_OUTPUTS = ("yoy_growth", "category_year", "tag_stats", "long_report", "features",
                       "forecast", "edges")
 
@@ -129,8 +133,11 @@ def q_productivity(spark, d):
 
 
 def q_long_report(spark, d):
-    base = prep.base_table(lineitem_with_tags(spark, d), LINEITEM)
-    return agg.long_report(base, LINEITEM, tags=TARGET_TAGS, min_measure=LONG_REPORT_MIN, digits=2)
+    """Only the tag section needs part, cut to the wanted tags before the join;
+    the other two sections read lineitem alone."""
+    base = prep.base_table(table(spark, d, "lineitem"), LINEITEM)
+    tagged = prep.base_table(lineitem_with_tags(spark, d, only_tags=TARGET_TAGS), LINEITEM)
+    return agg.long_report(base, LINEITEM, tags=TARGET_TAGS, min_measure=LONG_REPORT_MIN, digits=2, tagged=tagged)
 
 
 def brand_yearly_counts(spark, d):
@@ -171,8 +178,8 @@ def q_filter_domains(spark, d):
 
 
 def q_growth_pivot(spark, d):
-    return agg.pivot_mean(orders_growth(spark, d), "year", ORDERS.category, "growth_rate_pct",
-                          PRIORITIES)
+    growth = prep.filter_growth(orders_growth(spark, d), ORDERS.category)
+    return agg.pivot_mean(growth, "year", ORDERS.category, "growth_rate_pct")
 
 
 def q_growth_anomalies(spark, d):
@@ -315,7 +322,7 @@ def q_degree_centrality(spark, d):
 
 
 def q_graph_metrics(spark, d):
-    return gr.graph_metrics(q_edges(spark, d), k=BETWEENNESS_K, seed=GRAPH_SEED)
+    return gr.graph_metrics(q_edges(spark, d), k=BETWEENNESS_K, seed=GRAPH_SEED, digits=10)
 
 
 # --- clustering ------------------------------------------------------------------
@@ -337,7 +344,20 @@ def q_embedding_clusters(spark, d):
 # --- run metrics -------------------------------------------------------------------
 
 def q_run_metrics(spark, d):
-    return agg.run_metrics({name: QUERIES[name](spark, d) for name in RUN_METRIC_OUTPUTS})
+    """Writes every output of the run and reports the rows counted while writing."""
+    base = f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+
+    def write(name: str) -> tuple[str, int]:
+        done = io.write_observed(QUERIES[name](spark, d), lambda df: df.write.parquet(f"{base}/{name}"), name)
+        return done["output"], done["row_count"]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        counts = dict(pool.map(write, RUN_METRIC_OUTPUTS))
+    return agg.run_metrics(spark, counts, RUN_AT)
+
+
+def q_text_tokens(spark, d):
+    return cl.token_stats(table(spark, d, "documents"), "text")
 
 
 QUERIES: dict[str, Query] = {
@@ -381,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "edges": q_edges,
     "degree_centrality": q_degree_centrality,
     "graph_metrics": q_graph_metrics,
+    "text_tokens": q_text_tokens,
     "text_clusters": q_text_clusters,
     "embedding_clusters": q_embedding_clusters,
     "run_metrics": q_run_metrics,

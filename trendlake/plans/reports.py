@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,11 +74,11 @@ def build_reports(raw: DataFrame, silver: DataFrame, roles: Roles = REFERENCE_RO
 
 
 def write_reports(spark: SparkSession, items_path: str, out_dir: str, roles: Roles = REFERENCE_ROLES,
-                  source: str = "json", as_of=None, only: Sequence[str] | None = None,
+                  source: str = "json", as_of=None, run_at=None, only: Sequence[str] | None = None,
                   parallel: int = 4, **options) -> DataFrame:
     """Read the items, write the layers under ``out_dir/data`` and every report
     under ``out_dir/output/<name>`` (CSV with header; the quality report as
-    JSON); return ``(output, row_count)`` run metrics.
+    JSON); return the run metrics (output, row_count, timestamp_utc = ``run_at``).
 
     The reports are independent, so up to ``parallel`` of them are submitted
     as concurrent Spark jobs (small aggregates would otherwise leave most of
@@ -97,4 +98,5 @@ def write_reports(spark: SparkSession, items_path: str, out_dir: str, roles: Rol
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         metrics = list(pool.map(write, todo))
-    return spark.createDataFrame(metrics, "output string, row_count long")
+    run_at = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S") if run_at is None else str(run_at)
+    return agg.run_metrics(spark, {m["output"]: m["row_count"] for m in metrics}, run_at)
