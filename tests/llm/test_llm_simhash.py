@@ -1,0 +1,104 @@
+"""SimHash fingerprints and vantage-point linking against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from llm_helpers import docs
+from trendlake.llm import simhash
+
+
+def brute_fingerprint(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or [" ".join(words)]
+    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(fps, max_bits=4):
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= max_bits:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+def test_fingerprints_and_components(spark):
+    rng = random.Random(2)
+    base = [" ".join(rng.choice("alpha beta Gamma DELTA epsilon zeta ñu 日本 eta".split()) + str(rng.randint(0, 50))
+                     for _ in range(rng.randint(5, 120))) for _ in range(25)]
+    near = [b + " tail" + str(k) for b in base[:10] for k in range(3)]
+    texts = base + near + base[:3] + [None, "", " \n", "one", "ONE", "two words", "w " * 70_000, "É É É É"]
+    ids = list(range(100, 100 + len(texts)))
+    ids[3] = None
+    df = docs(spark, texts, ids, extra=True)
+    fps = [brute_fingerprint(t) for t in texts]
+    comp = brute_components(fps)
+    smallest = {c: min((i for i, x in zip(ids, comp) if x == c and i is not None), default=None) for c in set(comp)}
+    expected = sorted(((i, f, smallest[c]) for i, f, c in zip(ids, fps, comp)), key=repr)
+    got = sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(df).collect()), key=repr)
+    assert got == expected
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(smallest.values(), key=repr)
+    assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_keep_one_of_equal_rows_and_null_ids(spark):
+    df = docs(spark, ["a b c d e"] * 3 + ["q r s t u v"] * 2, ids=[1, 1, None, None, None])
+    assert sorted((r.doc_id for r in simhash.keep_one(df).collect()), key=repr) == [1, None]
+
+
+@pytest.mark.parametrize("chunk", [simhash.CHUNK, 40])
+def test_links_through_deep_trees(spark, chunk):
+    """Chains and balls of fingerprints, many of them at leaf boundaries."""
+    rng = np.random.default_rng(5)
+    found = []
+    for _ in range(60):
+        f = int(rng.integers(0, 1 << 63)) * 2 + 1
+        for _ in range(rng.integers(1, 25)):
+            found.append(f)
+            for b in rng.choice(64, rng.integers(1, 6), replace=False):
+                f ^= 1 << int(b)
+    found += [int(x) for x in rng.integers(0, 1 << 63, 600)]
+    center = found[0]
+    found += [center ^ (1 << a) ^ (1 << b) for a in range(0, 40) for b in range(a)]  # one dense ball
+    fps = np.unique(np.array(found, np.uint64))
+    classes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    edges = simhash.link_fingerprints(classes, leaf_rows=16, chunk=chunk)
+    pairs = np.array(edges.collect(), np.int64).reshape(-1, 2).view(np.uint64)
+    at = {int(x): i for i, x in enumerate(fps)}
+    mine, every = simhash._Labels(len(fps)), simhash._Labels(len(fps))
+    mine.add(np.array([at[int(a)] for a in pairs[:, 0]]), np.array([at[int(b)] for b in pairs[:, 1]]))
+    for k in range(0, len(fps), 200):
+        i, j = np.nonzero(np.bitwise_count(fps[k:k + 200, None] ^ fps[None]) <= 4)
+        every.add(i + k, j)
+    assert (mine.of == every.of).all()
+    assert len(pairs) < 40 * len(fps)  # stars, not all pairs of the ball
+
+
+def test_components_of_paths_stars_and_cycles(spark):
+    e = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(e, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(60)} | {200: 200, 201: 200, 202: 200}
+
+
+def test_native_hash_agrees(spark):
+    t = "the quick brown fox"
+    assert spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] % (1 << 64) == xxhash.xxh64_intdigest(t.encode(), 42)

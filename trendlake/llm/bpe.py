@@ -384,8 +384,17 @@ def digests(docs: DataFrame, text_col: str = "text", vocabulary: str | None = No
         v = bpe.load(vocabulary or bpe.vocabulary_path())
         return pd.DataFrame([bpe.digest(t, v) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    cols = [f"`{c}`" for c in docs.columns if c != text_col]
-    return docs.select(*cols, run(F.col(text_col)).alias("_d")).select(*cols, "_d.*")
+    return _replace_text(docs, text_col, run)
+
+
+def _replace_text(docs: DataFrame, text_col: str, run) -> DataFrame:
+    """``docs`` with the columns of the struct ``run`` makes of the text in
+    place of the text and of columns of the same names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_r"))
+    out = rows.select("_r", run(F.col(f"_r.`{text_col}`")).alias("_d"))
+    new = out.schema["_d"].dataType.names
+    old = [F.col(f"_r.`{c}`").alias(c) for c in docs.columns if c != text_col and c not in new]
+    return out.select(*old, "_d.*")
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -403,8 +412,7 @@ def encode_documents(docs: DataFrame, text_col: str = "text", vocabulary: str |
             rows.append((len(ids), np.array(ids, np.int32), bpe.Decoder(v).feed(ids, True) == (t or "")))
         return pd.DataFrame(rows, columns=["n_tokens", "ids", "round_trip"])
 
-    cols = [f"`{c}`" for c in docs.columns if c != text_col]
-    return docs.select(*cols, run(F.col(text_col)).alias("_d")).select(*cols, "_d.*")
+    return _replace_text(docs, text_col, run)
 
 
 def op6_bpe(spark, sf_dir):

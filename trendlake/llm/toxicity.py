@@ -18,7 +18,8 @@ of the smallest hash of the id), features the ``n_features`` of the largest
 is bounded by these parameters.  Scoring reads every whole text.
 
 Defined cases: null and empty texts have no features and get the score of the
-bias alone; without any confirmed toxic document every score is 0; repeated
+bias alone; without any confirmed toxic document every score is 0, without
+any telling feature it is the prior; repeated
 rows get equal scores; labels of unknown documents, null labels and null ids
 are not learned from; several label rows of one document count as toxic if any
 is; other columns are not read.
@@ -37,7 +38,7 @@ from trendlake.llm.common import crc_remainder, ship_code, spread, table
 
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-N_POSITIVE, N_UNLABELLED, N_FEATURES, MIN_Z = 3000, 9000, 2048, 5.0
+N_POSITIVE, N_UNLABELLED, N_FEATURES, MIN_Z = 3000, 9000, 2048, 3.0
 MIN_POSITIVE, MIN_POSITIVE_SHARE = 4, 0.02
 PREFIXES = (4, 5, 6)
 _PUNCTUATION = ".,;:!?\"'()[]{}…«»“”‘’`~-_*"
@@ -163,6 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_positi
                   .withColumn("z", z).where(F.abs("z") >= MIN_Z)
                   .orderBy(F.desc(F.abs("z")), "f").limit(n_features).collect())
     number = {r["f"]: i for i, r in enumerate(vocabulary)}
+    if not number:
+        return ToxicityModel({}, float(np.log(prior / max(1 - prior, 1e-9))), float(prior))
 
     def numbers(batches):
         from trendlake.llm import toxicity
