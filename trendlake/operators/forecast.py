@@ -169,7 +169,8 @@ def model_selection(yearly: DataFrame, category: str, min_points: int = 4, year:
                           .otherwise("LinearTrend"))
 
 
-def selection_summary(report: DataFrame) -> DataFrame:
-    """M4 (A18): mean RMSE of each model over the categories."""
-    return report.agg(F.avg("linear_rmse").alias("avg_linear_rmse"),
-                      F.avg("arima_rmse").alias("avg_arima_rmse"))
+def selection_summary(report: DataFrame, digits: int | None = None) -> DataFrame:
+    """M4 (A18): mean RMSE of each model over the categories (rounded to
+    ``digits``: the last bits of a mean depend on the order of the sum)."""
+    mean = lambda c: F.avg(c) if digits is None else F.round(F.avg(c), digits)
+    return report.agg(mean("linear_rmse").alias("avg_linear_rmse"), mean("arima_rmse").alias("avg_arima_rmse"))

@@ -303,7 +303,7 @@ def q_model_selection(spark, d):
 
 
 def q_selection_summary(spark, d):
-    return fc.selection_summary(q_model_selection(spark, d))
+    return fc.selection_summary(q_model_selection(spark, d), digits=6)
 
 
 # --- graph ---------------------------------------------------------------------

@@ -43,3 +43,18 @@ MONTH_METRIC = "month_wise_trend"
 TAG_METRIC = "topic_trend"
 RAW_METRIC_PREFIX = "stars_ge_"
 
+# Further result columns shared with the original reports, by the
+# operator that names them.
+RESULT_COLUMNS = {
+    "yoy_growth": ("prev_count", "growth_rate_pct"),
+    "mean_by": ("avg_stars_per_repo",),
+    "productivity": ("total_forks", "total_open_issues", "productivity_score", "activity_proxy_score"),
+    "features": ("repo_age_days", "stars_per_day", "fork_star_ratio", "repo_age_norm"),
+    "quality_report": ("row_count", "duplicate_repo_ids", "null_language_pct", "schema_missing_columns",
+                       "schema_extra_columns"),
+    "forecast": ("predicted_repo_count", "lower_ci", "upper_ci"),
+    "model_selection": ("linear_mae", "linear_rmse", "arima_mae", "arima_rmse", "selected_model"),
+    "graph_metrics": ("node", "degree_centrality", "betweenness_centrality"),
+    "clusters": ("cluster_id",),
+    "run_metrics": ("timestamp_utc",),
+}

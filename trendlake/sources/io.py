@@ -14,7 +14,8 @@ from trendlake.operators.aggregate import category_year
 from trendlake.operators.prepare import base_table
 from trendlake.roles import YEAR_COL, Roles
 
-# The item record (explicit schema: no inference pass over the input).
+# The field names of the original item record (explicit schema,
+# so no inference pass over the input).
 ITEM_SCHEMA = StructType([
     StructField("id", LongType()),
     StructField("name", StringType()),
@@ -30,6 +31,7 @@ ITEM_SCHEMA = StructType([
     StructField("html_url", StringType()),
 ])
 
+# The fields of the original's stored mark.
 MARK_SCHEMA = StructType([
     StructField("_id", StringType()),
     StructField("last_fetched_at", TimestampType()),
