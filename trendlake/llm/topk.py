@@ -11,8 +11,8 @@ query's running threshold, and only survivors get the exact integer product.
 The rotation and the seeds only decide what is skipped, never the result; the
 bounds carry a margin for rounding.
 
-Queries are blocked by threshold per length, so block pairs that cannot
-matter are never formed; a task holds one block of queries and one of candidates.
+Queries are blocked with others that meet about as many candidate blocks, so
+few block pairs that cannot matter are formed; a task holds one block of queries and one of candidates.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components
 and rows with a null vec_id take no part; vectors of different lengths are
@@ -154,10 +154,12 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
             yield pd.DataFrame({"id": ids, "v": pdf["v"], "lim": limits, "met": met.astype(np.int64)})
 
     queries = cand.where(is_query).select("id", "v").mapInPandas(thresholds, "id long, v array<double>, lim double, met long")
-    q_order = [F.desc("met"), F.xxhash64("id"), F.col("id")]
-    queries = written(queries.repartitionByRange(*q_order).sortWithinPartitions(*q_order)
-                      .withColumn("qblock", F.shiftright(at, 33) * (1 << 21)
-                                  + F.floor(at.bitwiseAND((1 << 33) - 1) / QUERY_BLOCK)), "topk-queries")
+    # Blocks of queries that meet about as many blocks (classes of the bit length of ``met``), split by hash.
+    queries = written(queries.withColumn("cls", F.length(F.bin("met"))), "topk-queries")
+    parts = [(r["cls"], -(-r["n"] // QUERY_BLOCK)) for r in
+             queries.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()]
+    split = F.coalesce(*[F.when(F.col("cls") == c, F.lit(n)) for c, n in parts], F.lit(1))
+    queries = queries.withColumn("qblock", F.col("cls") * (1 << 40) + F.pmod(F.xxhash64("id"), split)).drop("cls")
     # Pairs of blocks that can matter: block number i (by length) of the first ``met``.
     number = F.array(*[F.lit(int(b)) for b in names]) if len(names) <= 4096 else None
     meets = queries.groupBy("qblock").agg(F.max("met").alias("met")).where("met > 0").select(
