@@ -22,7 +22,7 @@ spark = get_spark("local[{cores}]", shuffle_partitions={cores}, extra={{"spark.c
 docs = spark.read.parquet({small!r} + "/documents.parquet").select("doc_id", "text")
 path = scratch + "/docs"
 docs.repartition({files}).write.parquet(path)
-out = cl.cluster_texts(spark.read.parquet(path), "text", num_features=1 << 10, restarts=3, max_iter=5)
+out = cl.cluster_texts(spark.read.parquet(path), "text", num_features=1 << 10, restarts=2, max_iter=3)
 print("RESULT" + json.dumps(sorted((r.doc_id, r.cluster_id) for r in out.collect())))
 """
 

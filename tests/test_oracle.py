@@ -45,8 +45,7 @@ def test_matches_oracle(spark, duck, name):
 def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SMALL)
     rows = df.collect()
-    assert len(rows) > 0
-    assert df.columns == QUERIES[name](spark, SMALL).columns
+    assert len(rows) > 0 and {"cluster_id", "year"} <= set(df.columns)
 
 
 def test_entry_smoke(spark):

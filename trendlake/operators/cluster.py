@@ -58,7 +58,7 @@ def cluster_texts(df: DataFrame, text_col: str, num_features: int = 1 << 14, k:
     the whole texts, clustered by ``cluster``.  The hashed term counts are
     persisted while the IDF weights are fitted and the vectors made from
     them.  All columns but the text are kept."""
-    counts = canonical(term_counts(df, text_col, num_features), key).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = term_counts(canonical(df, key), text_col, num_features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if counts.isEmpty():
             return counts.drop("_tf").withColumn(out_col, F.lit(None).cast("int"))
