@@ -39,14 +39,17 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from trendlake.llm.common import ship_code, spread, table
 
 VOCABULARY = "byte_bpe_50k.json"
 PIECE_CHARS = 1 << 16
-CACHE_SPLITS = 600_000
+CACHE_SPLITS = 240_000
 _SPLIT_CARRY = 1 << 14
 _ID_MASK = (1 << 32) - 1
 _NO_RULE = 1 << 62
@@ -112,12 +115,12 @@ class Vocabulary:
         self.byte_id = [0] * 256
         for c, b in symbol.items():
             self.byte_id[b] = ids[c]
+        self.id = list(range(max(self.bytes) + 1))  # one int object per id, shared by the table's entries
         self.ranks, rules = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             u, v = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[ids[u], ids[v]] = rank << 32 | ids[u + v]
             rules.append((raw(u), raw(v)))
-        self.whole = {b: i for i, b in self.bytes.items() if i not in self.special.values()}
         self.longest = max(map(len, self.bytes.values()))
         self.lookahead = sufficient_lookahead(rules)
         self.table: dict[str, tuple] = {}
@@ -127,14 +130,14 @@ class Vocabulary:
         """Ids of one split: the pair of lowest rank is merged first, leftmost
         first among equals."""
         get, none = self.ranks.get, _NO_RULE
-        byte_id = self.byte_id
+        byte_id, shared = self.byte_id, self.id
         ids = [byte_id[b] for b in data]
         pairs = [get(p, none) for p in zip(ids, ids[1:])]
         while pairs:
             best = min(pairs)
             if best == none:
                 break
-            i, new = pairs.index(best), best & _ID_MASK
+            i, new = pairs.index(best), shared[best & _ID_MASK]
             ids[i:i + 2] = (new,)
             del pairs[i]
             if i:
@@ -374,45 +377,49 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", vocabulary: str | None = Non
     return df.withColumn(out_col, run(F.col(ids_col)))
 
 
-def digests(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of ``text_col``."""
+_SLICE = 256  # rows of results held at a time
+
+
+def _replace_text(docs: DataFrame, text_col: str, vocabulary: str | None, fields: StructType, make) -> DataFrame:
+    """``docs`` with the columns ``fields`` made of the text (``make``: text and
+    vocabulary to a tuple) in place of the text and of columns of those names."""
     ship_code(docs.sparkSession)
+    new = fields.fieldNames()
+    keep = [c for c in docs.columns if c != text_col and c not in new]
+    schema = StructType([docs.schema[c] for c in keep] + fields.fields)
+    names, types = keep + new, [to_arrow_type(f.dataType) for f in fields.fields]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches):
         from trendlake.llm import bpe
         v = bpe.load(vocabulary or bpe.vocabulary_path())
-        return pd.DataFrame([bpe.digest(t, v) for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in batches:
+            for k in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(k, _SLICE)
+                made = zip(*[make(t.as_py(), v) for t in part.column(len(keep))])
+                arrays = [pa.array(list(x), t) for x, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays(part.columns[:len(keep)] + arrays, names)
 
-    return _replace_text(docs, text_col, run)
+    return docs.select(*[f"`{c}`" for c in keep], F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
 
 
-def _replace_text(docs: DataFrame, text_col: str, run) -> DataFrame:
-    """``docs`` with the columns of the struct ``run`` makes of the text in
-    place of the text and of columns of the same names."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_r"))
-    out = rows.select("_r", run(F.col(f"_r.`{text_col}`")).alias("_d"))
-    new = out.schema["_d"].dataType.names
-    old = [F.col(f"_r.`{c}`").alias(c) for c in docs.columns if c != text_col and c not in new]
-    return out.select(*old, "_d.*")
+def digests(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of ``text_col``."""
+    fields = StructType().add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    return _replace_text(docs, text_col, vocabulary, fields, digest)
+
+
+def ids_and_check(text: str | None, vocabulary: Vocabulary) -> tuple[int, np.ndarray, bool]:
+    """Number of ids, the ids, and whether they decode to the text."""
+    parts = [np.array(ids, np.int32) for ids in encode(text, vocabulary)]
+    ids, d = np.concatenate([np.zeros(0, np.int32), *parts]), Decoder(vocabulary)
+    return len(ids), ids, "".join([d.feed(p.tolist()) for p in parts]) + d.feed([], True) == (text or "")
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``docs`` with the text replaced by its ids: n_tokens, ids array<int> and
     round_trip (the ids decode to the text)."""
-    ship_code(docs.sparkSession)
-
-    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        from trendlake.llm import bpe
-        v = bpe.load(vocabulary or bpe.vocabulary_path())
-        rows = []
-        for t in texts:
-            ids = [i for part in bpe.encode(t, v) for i in part]
-            rows.append((len(ids), np.array(ids, np.int32), bpe.Decoder(v).feed(ids, True) == (t or "")))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids", "round_trip"])
-
-    return _replace_text(docs, text_col, run)
+    fields = StructType().add("n_tokens", "long").add("ids", ArrayType(IntegerType())).add("round_trip", "boolean")
+    return _replace_text(docs, text_col, vocabulary, fields, ids_and_check)
 
 
 def op6_bpe(spark, sf_dir):
