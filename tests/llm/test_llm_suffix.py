@@ -58,9 +58,15 @@ def test_pieces_of_a_long_text_lose_no_window(monkeypatch):
     rng = random.Random(8)
     data = bytes(rng.choice(b"abcd") for _ in range(3000))
     monkeypatch.setattr(suffix, "_PIECE", 256)
-    windows = [x for pos, high, low, _, _ in suffix.anchor_rows(data)
-               for p, a, z in zip(pos, high, low) for x in range(p - a, p - z + 1)]
-    assert sorted(windows) == list(range(len(data) - L + 1))
+    for text in (data, data[:7] * 300, b"q" * 1500 + data[:900] + b"xyz" * 400):
+        windows = [x + k * step for pos, high, low, _, _, n, d in suffix.anchor_rows(text)
+                   for p, a, z, repeats, step in zip(pos, high, low, n, d) for k in range(repeats)
+                   for x in range(p - a, p - z + 1)]
+        assert sorted(windows) == list(range(len(text) - L + 1))
+        assert len(text) < 3000 or text == data or len(windows) > 100
+    rows = [len(r[0]) for r in suffix.anchor_rows(b"xyz" * 50)]
+    monkeypatch.setattr(suffix, "_PIECE", 1 << 20)
+    assert sum(len(r[0]) for r in suffix.anchor_rows(b"abcdefg" * 5000)) < 20 and rows == []
 
 
 def test_merge_of_starts_against_pairs():

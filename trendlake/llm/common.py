@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import trendlake
 from trendlake.session import ensure_checkpoint_dir
+from trendlake.sources.files import delete
 
 # A word: a run of code points other than space, tab, LF, VT, FF, CR.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -59,6 +60,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``written`` made, when nothing reads it any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin over the task slots when the input has fewer partitions
     than slots (one small file); larger inputs keep their scan splits.  Only

@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import ship_code, spread, table, written
+from trendlake.llm.common import discard, ship_code, spread, table, written
 
 LENGTH = 200
 GRAM = 32
@@ -115,7 +115,10 @@ def anchors(b: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 def anchor_rows(data: bytes, length: int = LENGTH, gram: int = GRAM):
     """(position, offset of the anchor in its first and last window, gram,
-    stretch hash) of a whole text, piece by piece."""
+    stretch hash, repeats, step) of a whole text, piece by piece.
+
+    Equal anchors at equal distances (text of a short period has one per
+    period) are one row: ``repeats`` anchors, ``step`` bytes apart."""
     import xxhash
     digest, n = xxhash.xxh64_intdigest, len(data)
     for at in range(0, n - length + 1, _PIECE):
@@ -124,7 +127,14 @@ def anchor_rows(data: bytes, length: int = LENGTH, gram: int = GRAM):
         high, low = pos - first, pos - last
         seeds = (high * (length + 1) + low).tolist()
         c = np.array([digest(piece[a:z], s) for a, z, s in zip(first.tolist(), (last + length).tolist(), seeds)], np.uint64)
-        yield pos + at, high, low, g, c
+        d = np.diff(pos)
+        like = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
+        go_on = like.copy()
+        go_on[1:] &= ~like[:-1] | (d[1:] == d[:-1])
+        begin = np.append(0, np.flatnonzero(~go_on) + 1)
+        repeats = np.diff(np.append(begin, len(pos)))
+        step = np.append(d, 0)[begin] * (repeats > 1)
+        yield pos[begin] + at, high[begin], low[begin], g[begin], c[begin], repeats, step
 
 
 # --- merge ---------------------------------------------------------------------
@@ -248,29 +258,35 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     def scan(batches):
         from trendlake.llm import suffix
-        names = ["doc_id", "th", "at", "gram", "cls"]
+        names = ["doc_id", "th", "at", "run", "gram", "cls"]
         for batch in batches:
             ids, ths = batch.column("doc_id"), batch.column("th").to_numpy()
             parts, who = [], []
             for k, data in enumerate(batch.column("b")):
-                for pos, high, low, g, c in suffix.anchor_rows(data.as_py(), length):
+                for pos, high, low, g, c, repeats, step in suffix.anchor_rows(data.as_py(), length):
                     who.append(np.full(len(pos), k))
-                    parts.append((pos << 20 | high << 10 | low, g.view(np.int64), c.view(np.int64)))
+                    parts.append((pos << 20 | high << 10 | low, repeats << 10 | step, g.view(np.int64), c.view(np.int64)))
             if parts:
                 who = np.concatenate(who)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(who)), pa.array(ths[who]), *[pa.array(np.concatenate(x)) for x in zip(*parts)]], names)
 
-    # at: position, and the largest and smallest window offset in 10 bits each.
-    found = written(spread(keyed).mapInArrow(scan, "doc_id long, th long, at long, gram long, cls long"), "sa-anchors")
-    again = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # at: position, and the largest and smallest window offset in 10 bits each;
+    # run: number of anchors and, in 10 bits, the bytes between them (less than a window's).
+    found = written(spread(keyed).mapInArrow(
+        scan, "doc_id long, th long, at long, run long, gram long, cls long"), "sa-anchors")
+    repeats, step = F.shiftright("run", 10), F.col("run").bitwiseAND(1023)
+    again = found.groupBy("gram").agg(F.sum(repeats).alias("n")).where("n > 1").select("gram")
     shared = written(found.join(again, "gram", "left_semi"), "sa-shared")
+    discard(found)
     classes = written(shared.groupBy("gram", "cls").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "th", "at")]), "sa-classes")
+        F.sum(repeats).alias("n"), *[F.first(c).alias(c) for c in ("doc_id", "th", "at")]), "sa-classes")
 
     pos, high, low = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(1023), F.col("at").bitwiseAND(1023)
     equal = shared.join(classes.where("n > 1").select("gram", "cls"), ["gram", "cls"], "left_semi")
-    spans = equal.select("doc_id", "th", (pos - high).alias("lo"), (pos - low + length).alias("hi"))
+    # The windows of a run of anchors follow each other.
+    spans = equal.select("doc_id", "th", (pos - high).alias("lo"),
+                         (pos + (repeats - 1) * step - low + length).alias("hi"))
 
     several = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("stretches")).where("stretches > 1")
     hard = (classes.join(several, "gram")
