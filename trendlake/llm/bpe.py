@@ -49,7 +49,7 @@ from trendlake.llm.common import ship_code, spread, table
 
 VOCABULARY = "byte_bpe_50k.json"
 PIECE_CHARS = 1 << 16
-CACHE_SPLITS = 240_000
+CACHE_SPLITS = 400_000
 _SPLIT_CARRY = 1 << 14
 _ID_MASK = (1 << 32) - 1
 _NO_RULE = 1 << 62
