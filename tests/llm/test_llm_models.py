@@ -132,6 +132,18 @@ def test_toxicity_on_awkward_rows(spark):
     assert empty.prior == 0
 
 
+def test_copies_of_one_toxic_text_do_not_hide_the_others(spark):
+    """Nearly all confirmed toxic rows are one text; the rest is still found, and clean text kept."""
+    texts = ["filthy spam of one kind"] * 2000 + [f"grubby insult number{i} for you" for i in range(24)]
+    texts += [f"{GOOD} {i}" for i in range(200)]
+    df = docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 2024)) for i in range(len(texts))], "doc_id long, toxic int")
+    m = toxicity.fit(df, labels)
+    assert "grubby" in m.weights and m.prior < 0.3
+    score = {r.doc_id: r.score for r in toxicity.score(df.where("doc_id >= 2000"), m).collect()}
+    assert all((s >= toxicity.THRESHOLD) == (i < 2024) for i, s in score.items())
+
+
 PAGE = """<html><head><title>no</title><script>var a = "</p><p>x";</script></head><body><nav><ul><li><a href="/a">Home</a>
 <li><a href="/b">News</a></ul></nav><div class="ad">Buy this now</div><article><h1>A &amp; B</h1><p><b>First   paragraph of the
 text,<br>with a line break, that is long enough to be prose in every sense of the word.<p>Second one &copy; 1 &lt; 2.</article>

@@ -9,11 +9,13 @@ class-prior-corrected risk
 
 with the sigmoid loss, in numpy; when the corrected negative part falls below
 zero, the step goes against that part instead (the non-negative rule).
-The prior is the toxic share of the labelled training rows, or a parameter.
+The prior is the toxic share of the labelled training texts, or a parameter.
 
-Learning uses only rows whose crc32(doc_id) mod 4 is not 2.  Positives and
-unlabelled rows are bounded samples (``n_positive``, ``n_unlabelled``; the rows
-of the smallest hash of the id), features the ``n_features`` of the largest
+Learning uses only rows whose crc32(doc_id) mod 4 is not 2, and of equal texts
+(by their 64-bit hash) one: the prior, both samples and the document
+frequencies all count distinct texts.  Positives and unlabelled texts are
+bounded samples (``n_positive``, ``n_unlabelled``; the texts of the smallest
+hash), features the ``n_features`` of the largest
 |z| between the two samples' document frequencies, so what reaches the driver
 is bounded by these parameters.  Scoring reads every whole text.
 
@@ -21,8 +23,8 @@ Defined cases: null and empty texts have no features and get the score of the
 bias alone; without any confirmed toxic document every score is 0, without
 any telling feature it is the prior; repeated
 rows get equal scores; labels of unknown documents, null labels and null ids
-are not learned from; several label rows of one document count as toxic if any
-is; other columns are not read.
+are not learned from; several label rows of one document, or of documents with
+the same text, count as toxic if any is; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import crc_remainder, ship_code, spread, table
+from trendlake.llm.common import crc_remainder, discard, ship_code, spread, table, written
 
 MODULUS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -123,23 +125,24 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_positi
     learnable = crc_remainder("doc_id", MODULUS) != HELD_OUT
     known = (labels.where(learnable & F.col("toxic").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").alias("toxic")))
-    ids = docs.where(learnable).select("doc_id").distinct()
-    n_known, n_toxic = known.agg(F.count(F.lit(1)), F.sum(F.col("toxic").cast("long"))).first()
+    # Equal texts are one example, however many rows have them; toxic if any of the rows is.
+    texts = written(docs.where(learnable).select("doc_id", F.xxhash64("text").alias("_t")).join(known, "doc_id", "left")
+                    .groupBy("_t").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")), "toxicity-texts")
+    n_known, n_toxic = texts.agg(F.count("toxic"), F.sum(F.col("toxic").cast("long"))).first()
     if prior is None:
         prior = (n_toxic or 0) / n_known if n_known else 0.0
     if not n_toxic:
+        discard(texts)
         return ToxicityModel({}, 0.0, 0.0)
-    by_hash = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
-    pos = known.where("toxic = 1").join(ids, "doc_id", "left_semi").orderBy(*by_hash).limit(n_positive)
-    unl = ids.orderBy(*by_hash).limit(n_unlabelled)
-    chosen = ({r[0]: 1 for r in pos.select("doc_id").collect()}, {r[0]: 1 for r in unl.collect()})
-    # Two bounded lists of ids: the sample's texts are read in one pass.
-    sample_ids = docs.sparkSession.createDataFrame(
-        [(i, i in chosen[0], i in chosen[1]) for i in sorted(chosen[0].keys() | chosen[1].keys())],
-        "doc_id long, pos boolean, unl boolean")
-    sample = docs.select("doc_id", "text").join(F.broadcast(sample_ids), "doc_id").dropDuplicates(["doc_id"])
-    # A text that was copied often is one example.
-    sample = sample.withColumn("_t", F.xxhash64("text")).dropDuplicates(["_t", "pos", "unl"]).drop("_t")
+    by_hash = [F.xxhash64("_t", F.lit(17)), F.col("_t")]
+    pos = {r[0]: r[1] for r in texts.where("toxic = 1").orderBy(*by_hash).limit(n_positive).collect()}
+    unl = {r[0]: r[1] for r in texts.orderBy(*by_hash).limit(n_unlabelled).collect()}
+    discard(texts)
+    # Two bounded lists of texts, each by one of its rows: the sample is read in one pass.
+    chosen = docs.sparkSession.createDataFrame(
+        [(t, i, t in pos, t in unl) for t, i in sorted((pos | unl).items())], "_t long, doc_id long, pos boolean, unl boolean")
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+              .where(F.xxhash64("text") == F.col("_t")).dropDuplicates(["_t"]))
 
     def count(batches):
         from trendlake.llm import toxicity
@@ -156,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_positi
             some = keys[k:k + 50_000]
             yield pd.DataFrame({"f": some, "p": [p[x] for x in some], "u": [u[x] for x in some]})
 
-    n_pos, n_unl = max(1, len(chosen[0])), max(1, len(chosen[1]))
+    n_pos, n_unl = len(pos), len(unl)
     share = (F.col("p") + F.col("u")) / (n_pos + n_unl)
     z = (F.col("p") / n_pos - F.col("u") / n_unl) / F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl) + 1e-12)
     vocabulary = (sample.mapInPandas(count, "f string, p long, u long").groupBy("f")
@@ -171,11 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, n_positi
         from trendlake.llm import toxicity
         for pdf in batches:
             found = [sorted(number[f] for f in toxicity.features_of(t) if f in number) for t in pdf["text"]]
-            yield pd.DataFrame({"pos": pdf["pos"], "unl": pdf["unl"], "doc_id": pdf["doc_id"],
+            yield pd.DataFrame({"pos": pdf["pos"], "unl": pdf["unl"], "_t": pdf["_t"],
                                 "f": pd.Series(found, dtype=object)})
 
-    rows = sample.mapInPandas(numbers, "pos boolean, unl boolean, doc_id long, f array<int>").collect()
-    rows.sort(key=lambda r: r["doc_id"])
+    rows = sample.mapInPandas(numbers, "pos boolean, unl boolean, _t long, f array<int>").collect()
+    rows.sort(key=lambda r: r["_t"])
     w, bias = train([np.array(r["f"], np.int64) for r in rows if r["pos"]],
                     [np.array(r["f"], np.int64) for r in rows if r["unl"]], len(number), float(prior))
     return ToxicityModel({f: float(w[i]) for f, i in number.items()}, bias, float(prior))
