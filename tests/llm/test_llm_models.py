@@ -187,3 +187,17 @@ def test_pages_on_awkward_rows(spark):
     assert len({r.text for r in got if r.page_id == 3}) == 1
     assert [len(r.text) for r in got if r.page_id == 4] == [499_999]
     assert html.extract(pages.limit(0), html.fit(pages.limit(0))).count() == 0
+
+
+def test_pages_that_label_themselves_are_found_among_others(spark):
+    """The sample is one of self-labelling pages, however few there are."""
+    n, by_hash = 3, F.xxhash64("id", F.lit(29))
+    ids = [r.id for r in spark.range(200).orderBy(by_hash, "id").collect()]
+    bare = "<body><div class='menu'><a href='/'>Home</a></div><p>Some text.</p></body>"
+    rows = [(i, f"<!-- <article> -->{bare}" if k < 60 else bare if k < 195 else PAGE.replace("B</h1>", f"{k}</h1>"))
+            for k, i in enumerate(ids)] + [(ids[-4], bare), (None, PAGE)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    alone = pages.where(F.col("page_id").isin(ids[195:195 + n]) & F.col("html").contains("<article><h1>"))
+    model, expected = html.fit(pages, n), html.fit(alone, n)
+    assert model[0] == expected[0] and np.array_equal(model[1], expected[1]) and model[1].any()
+    assert "News" not in html.main_text(PAGE, *model)

@@ -8,10 +8,10 @@ its text.  A two-state CRF scores the chain of blocks, Viterbi decoding picks
 the main text.
 
 Labelled pages: there is no table of labels, so the training set is made from
-a bounded sample of the pages themselves (``n_pages`` smallest hashes of the
-id).  Pages whose markup names its article label themselves (blocks inside
-``article`` or ``main``, outside notices, adverts, forms, comments and the
-like).  Their blocks are also laid out anew in ``LAYOUTS``, pages without such
+the pages themselves.  Pages whose markup names its article label themselves
+(blocks inside ``article`` or ``main``, outside notices, adverts, forms,
+comments and the like); of all that do, a bounded sample is learned from
+(``n_pages`` smallest hashes of the id).  Their blocks are also laid out anew in ``LAYOUTS``, pages without such
 elements in which every block's label is written next to it; so the model also
 learns class names, element kinds, text properties and the order of blocks.
 Everything is learned by conditional log-likelihood; nothing of the labels is
@@ -24,7 +24,7 @@ by one line feed.
 Defined cases: null and empty pages, and pages without text, give the empty
 text; unclosed and stray tags are tolerated; any depth of nesting costs time in
 proportion to the page; repeated rows are extracted each; other columns are
-not read; with no page to learn from, every text block is kept.
+not read; pages without id are not learned from; with no page to learn from, every text block is kept.
 """
 
 from __future__ import annotations
@@ -310,12 +310,37 @@ def main_text(html: str | None, weights, trans: np.ndarray) -> str:
     return "\n".join(b.text for b, y in zip(blocks, crf.viterbi(state, trans)) if y)
 
 
+def _self_labelled(pages: DataFrame, n_pages: int) -> DataFrame:
+    """page_id and html hash of the ``n_pages`` pages of the smallest hash of
+    the id among all that label themselves."""
+    h = F.xxhash64("page_id", F.lit(29))
+    # Whatever has a block in article or main has such a tag in its text.
+    able = pages.where(F.col("page_id").isNotNull() & F.col("html").rlike("(?i)<(article|main)")).select("page_id", "html")
+
+    @F.pandas_udf("boolean")
+    def labels_itself(html: pd.Series) -> pd.Series:
+        from trendlake.llm import html as page
+        return pd.Series([page.own_labels(page.blocks_of(x)) is not None for x in html], dtype=bool)
+
+    def first(some: DataFrame) -> list:
+        return (spread(some).where(labels_itself("html")).groupBy("page_id").agg(F.min(F.xxhash64("html")).alias("x"))
+                .orderBy(h, "page_id").limit(n_pages).collect())
+
+    # Pages of small hashes mostly suffice; else all pages are parsed.
+    share = 4 * n_pages / max(1, able.count())
+    found = first(able.where(h <= int(share * 2.0 ** 64) - 2 ** 63)) if share < 1 else []
+    if len(found) < n_pages:
+        found = first(able)
+    return pages.sparkSession.createDataFrame([tuple(r) for r in found], "page_id long, x long")
+
+
 def fit(pages: DataFrame, n_pages: int = N_PAGES):
-    """CRF parameters from a bounded sample of ``pages`` (page_id, html)."""
+    """CRF parameters from a bounded sample of the ``pages`` (page_id, html)
+    that label themselves."""
     ship_code(pages.sparkSession)
-    ids = (pages.where("html is not null").select("page_id").distinct()
-           .orderBy(F.xxhash64("page_id", F.lit(29)), "page_id").limit(n_pages))
-    rows = pages.select("page_id", "html").join(F.broadcast(ids), "page_id").dropDuplicates(["page_id"])
+    ids = _self_labelled(pages, n_pages)
+    rows = (pages.select("page_id", "html").join(F.broadcast(ids), "page_id")
+            .where(F.xxhash64("html") == F.col("x")).dropDuplicates(["page_id"]))
 
     def chains(batches):
         from trendlake.llm import html
