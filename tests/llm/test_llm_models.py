@@ -201,3 +201,13 @@ def test_pages_that_label_themselves_are_found_among_others(spark):
     model, expected = html.fit(pages, n), html.fit(alone, n)
     assert model[0] == expected[0] and np.array_equal(model[1], expected[1]) and model[1].any()
     assert "News" not in html.main_text(PAGE, *model)
+
+
+@pytest.mark.parametrize("start", ["<body>", "<p>", "<span>", "", "<img src=x>", "<svg></svg>", "</body><div>"])
+def test_head_without_end_tag_hides_no_text(start):
+    head = "<html><head>\n<meta charset=u><title>no</title><script>var a;</script><noscript><img><p>no</p></noscript><link>\n"
+    page = f"{head}{start}Text <b>of</b> the page.</p><footer>End</footer>"
+    assert [b.text for b in html.blocks_of(page)] == ["Text of the page.", "End"]
+    assert [b.text for b in html.blocks_of(PAGE.replace("</head>", ""))] == [b.text for b in html.blocks_of(PAGE)]
+    assert [b.text for b in html.blocks_of(f"<head><noscript>no{'<body>'}Text")] == ["Text"]
+    assert html.blocks_of(head) == html.blocks_of("<head><noframes>no</noframes><title>no") == []

@@ -17,7 +17,9 @@ learns class names, element kinds, text properties and the order of blocks.
 Everything is learned by conditional log-likelihood; nothing of the labels is
 used when a page is decoded.
 
-Script, style, template and head content is never text.  Character references
+Script, style, template and head content is never text; a head without end tag
+ends at the body or at the first text or element that cannot stand in it.
+Character references
 are decoded, white space inside a block becomes one space, blocks are joined
 by one line feed.
 
@@ -48,6 +50,8 @@ BLOCK_TAGS = frozenset(
     "p pre section select summary table tbody td textarea tfoot th thead tr ul video audio object label".split())
 HIDDEN_TAGS = frozenset("head title script style template noscript svg math iframe object audio video canvas".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# What may stand in a head; a start of anything else, or text, ends an open one.
+HEAD_TAGS = frozenset("html head title base basefont bgsound link meta script style template noscript noframes".split())
 # A start of one of these ends an open paragraph.
 ENDS_PARAGRAPH = BLOCK_TAGS - {"button", "label", "option", "select", "textarea", "canvas", "iframe", "object"}
 
@@ -114,7 +118,13 @@ class _Reader(HTMLParser):
             self.parts = []
         self.link_chars = self.chars = 0
 
+    def in_head(self) -> bool:
+        """Directly inside a head, whose end tag may be left out."""
+        return bool(self.stack) and self.stack[-1][0] == "head"
+
     def handle_starttag(self, tag, attrs):
+        if self.open_tags.get("head") and (tag == "body" or tag not in HEAD_TAGS and self.in_head()):
+            self._close("head")
         if tag in BLOCK_TAGS:
             self.flush()
             if tag in ENDS_PARAGRAPH and self.open_tags.get("p"):
@@ -170,6 +180,8 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.in_head() and data.strip():
+            self._close("head")
         if self.hidden:
             return
         self.parts.append(data)
