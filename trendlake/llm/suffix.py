@@ -1,4 +1,5 @@
-"""Removal of repeated byte strings by merging shard Burrows-Wheeler transforms.
+"""Removal of repeated byte strings: hash counts of equal stretches, then an
+interleave refinement by BWT symbols on the rest.
 
 A byte is removed when a string of ``length`` (200) bytes that covers it also
 starts anywhere else in the corpus.  That is the case for the string at x iff
@@ -7,11 +8,12 @@ neighbour in the merged suffix order of all shards.
 
 Sorting every suffix of the corpus, or refining a byte-wise interleave of all
 of them ``length`` times over the cluster, costs thousands of operations per
-byte.  The merge below keeps the method - shards contribute sorted starts with
-the bytes before them (their BWT columns), the merged order of the next start
-to the left follows from the merged order of the last one by a stable
-partition on the BWT symbol, and common prefixes follow from range minima of
-the last ones - on those suffixes that can matter:
+byte.  No shard transform is built or merged here.  Steps 2 and 3 and grams with
+more than ``hot`` stretches are decided by hash counts; what is left is sorted
+directly per gram and then refined as in the interleave: the order of the next
+start to the left follows from the order of the last one by a stable partition
+on the byte before it (the BWT symbol), and common prefixes follow from range
+minima of the last ones.
 
 1. *Anchors* (each shard alone).  A window is a string of ``length`` bytes; its
    anchor is its leftmost 32-byte gram of least hash.  Equal windows have their
