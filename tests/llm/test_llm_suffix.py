@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from llm_helpers import docs
@@ -126,3 +127,14 @@ def test_whole_characters():
     assert suffix.whole_characters(data, [(2, 5)]) == []
     assert suffix.whole_characters(data, [(2, 7)]) == [(3, 7)]
     assert suffix.joined_spans([(5, 9), (0, 2), (2, 4), (8, 12)]) == [(0, 4), (5, 12)]
+
+
+def test_rows_that_repeat_id_and_text_share_their_spans(spark):
+    """N equal rows: as many spans as one has, and one copy in a gram's group."""
+    texts = [t for t in corpus(1) if t and len(t) > 300][:8]
+    rows = lambda n: docs(spark, texts + [texts[0]] * n, ids=[*range(len(texts))] + [0] * n)
+    spans = lambda n: {(r.doc_id, r.th): sorted(map(tuple, r.spans))
+                       for r in suffix.repeated_spans(rows(n).select("doc_id", "text")).collect()}
+    assert spans(30) == spans(1) and any(spans(1).values())
+    pdf = pd.DataFrame({"doc_id": [1, 1, None, None, 2], "th": [7, 7, 7, 7, 7]})
+    assert len(list(suffix._once([pdf, pdf]))) == 3

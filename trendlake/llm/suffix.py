@@ -246,6 +246,19 @@ def _merge_batches(batches, length: int = LENGTH):
 
 # --- on Spark ------------------------------------------------------------------
 
+def _once(batches):
+    """The rows of a task without those that repeat both doc_id and text: they
+    stand for nothing new (the join sorts them together, so a task or, after a
+    skew split, a few tasks see them)."""
+    seen = set()
+    for pdf in batches:
+        for row in pdf.itertuples(index=False):
+            key = (None if pd.isna(row.doc_id) else row.doc_id, row.th)
+            if key not in seen:
+                seen.add(key)
+                yield row
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"),
@@ -301,17 +314,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         "doc_id", "th", "b", *[F.col(f"h.{c}").alias(c) for c in ("gram", "pos", "high", "low", "target", "hot")])
 
     def stretches(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                keep = ~np.asarray(row.hot, bool)
-                if not keep.any():
-                    continue
-                p, hi, lo = (np.asarray(x)[keep] for x in (row.pos, row.high, row.low))
-                yield pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(row.doc_id) else row.doc_id] * len(p), "Int64"),
-                    "th": np.full(len(p), row.th), "gram": np.asarray(row.gram)[keep], "pos": p, "high": hi, "low": lo,
-                    "target": np.asarray(row.target)[keep],
-                    "s": [row.b[a:z] for a, z in zip((p - hi).tolist(), (p - lo + length).tolist())]})
+        from trendlake.llm import suffix
+        for row in suffix._once(batches):
+            keep = ~np.asarray(row.hot, bool)
+            if not keep.any():
+                continue
+            p, hi, lo = (np.asarray(x)[keep] for x in (row.pos, row.high, row.low))
+            yield pd.DataFrame({
+                "doc_id": pd.array([None if pd.isna(row.doc_id) else row.doc_id] * len(p), "Int64"),
+                "th": np.full(len(p), row.th), "gram": np.asarray(row.gram)[keep], "pos": p, "high": hi, "low": lo,
+                "target": np.asarray(row.target)[keep],
+                "s": [row.b[a:z] for a, z in zip((p - hi).tolist(), (p - lo + length).tolist())]})
 
     def batched(batches):
         held, size = [], 0
@@ -325,7 +338,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
             yield pd.concat(held, ignore_index=True)
 
     schema = "doc_id long, th long, gram long, pos long, high long, low long, target boolean, s binary"
-    # Only rows that stand for several can come more than once (from repeated
+    # Rows that stand for several can still come once per task (from repeated
     # documents); they are never targets, so that changes nothing.
     aligned = texts.mapInPandas(batched, schema)
 
@@ -338,24 +351,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     spans = spans.unionByName(exact)
     if not several.where(F.col("stretches") > hot).isEmpty():
         spans = spans.unionByName(_hot_windows(texts, length))
-    return spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # A set: rows that repeat each other have the same spans.
+    return spans.groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
 
 
 def _hot_windows(texts: DataFrame, length: int) -> DataFrame:
     """Repeated windows of hot grams: counted by a 128-bit hash of the window."""
     def windows(batches):
         import xxhash
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                for is_hot, p, hi, lo, target in zip(row.hot, row.pos, row.high, row.low, row.target):
-                    if is_hot:
-                        at = np.arange(p - hi, p - lo + 1)
-                        w = [row.b[x:x + length] for x in at.tolist()]
-                        yield pd.DataFrame({
-                            "doc_id": pd.array([None if pd.isna(row.doc_id) else row.doc_id] * len(at), "Int64"),
-                            "th": np.full(len(at), row.th), "lo": at, "target": np.full(len(at), target),
-                            "h1": np.array([xxhash.xxh64_intdigest(x, 1) for x in w], np.uint64).view(np.int64),
-                            "h2": np.array([xxhash.xxh64_intdigest(x, 2) for x in w], np.uint64).view(np.int64)})
+        from trendlake.llm import suffix
+        for row in suffix._once(batches):
+            for is_hot, p, hi, lo, target in zip(row.hot, row.pos, row.high, row.low, row.target):
+                if is_hot:
+                    at = np.arange(p - hi, p - lo + 1)
+                    w = [row.b[x:x + length] for x in at.tolist()]
+                    yield pd.DataFrame({
+                        "doc_id": pd.array([None if pd.isna(row.doc_id) else row.doc_id] * len(at), "Int64"),
+                        "th": np.full(len(at), row.th), "lo": at, "target": np.full(len(at), target),
+                        "h1": np.array([xxhash.xxh64_intdigest(x, 1) for x in w], np.uint64).view(np.int64),
+                        "h2": np.array([xxhash.xxh64_intdigest(x, 2) for x in w], np.uint64).view(np.int64)})
 
     found = written(texts.mapInPandas(windows, "doc_id long, th long, lo long, target boolean, h1 long, h2 long"),
                     "sa-hot-windows")
