@@ -1,0 +1,101 @@
+"""Hard negatives against brute force."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trendlake.llm import negatives as ng
+
+SCHEMA = "vec_id long, embedding array<double>, label int, uid string, x string, grp string, w string, blocks string"
+LONG = (1 << 63) - 1
+
+
+def brute(rows, every, k=5, n=10):
+    good = [(i, [max(-LONG - 1, min(LONG, int(np.floor(256 * c)))) for c in v], y) for i, v, y in rows
+            if v is not None and y is not None and all(c is not None and np.isfinite(c) for c in v)]
+    dot = lambda a, b: max(-LONG - 1, min(LONG, sum(x * y for x, y in zip(a, b))))
+    out = []
+    for a, (i, v, y) in enumerate(good):
+        if i is None or i % every:
+            continue
+        scored = sorted((-dot(v, c), j is None, j or 0, b) for b, (j, c, _) in enumerate(good) if b != a)
+        for s, none, p, _ in [t for t in scored if good[t[3]][2] == y][:k]:
+            ps = -s
+            inside = [t for t in scored if good[t[3]][2] != y and 30 * ps <= 100 * -t[0] <= 90 * ps][:n]
+            out += [(i, None if none else p, r + 1, None if t[1] else t[2], ps, -t[0]) for r, t in enumerate(inside)]
+    return sorted(out, key=repr)
+
+
+def got(spark, rows, every, **more):
+    df = spark.createDataFrame([(*r, "u", "x", "g", "w", "b") for r in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in ng.mine(df, F.col("id") % every == 0, **more).collect()), key=repr)
+
+
+def sample(n=240, dim=9, labels=3, seed=0):
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(labels, dim))
+    y = rng.integers(0, labels, n)
+    return [(i, [float(c) for c in v], int(t)) for i, (v, t) in enumerate(zip(centre[y] + 0.8 * rng.normal(size=(n, dim)), y))]
+
+
+@pytest.mark.parametrize("blocks", [(4096, 4096, 8, 8), (16, 4, 1, 2)], ids=["one block", "many rounds"])
+@pytest.mark.parametrize("case", ["normal", "ties", "huge"])
+def test_mine(spark, monkeypatch, blocks, case):
+    for name, v in zip(("BLOCK", "ANCHOR_BLOCK", "FIRST_ROUND", "GROWTH"), blocks):
+        monkeypatch.setattr(ng, name, v)
+    rows = sample()
+    if case == "ties":
+        rows = [(i, [float(round(c)) for c in v[:2]], y) for i, v, y in rows]
+    if case == "huge":
+        rows = [(i, [c * 2.0 ** 24 for c in v], y) for i, v, y in rows]
+    assert got(spark, rows, 20) == brute(rows, 20) != []
+
+
+def test_awkward_rows(spark, monkeypatch):
+    monkeypatch.setattr(ng, "BLOCK", 16)
+    rows = sample(80)
+    rows += [(100, None, 1), (101, [None] + [1.0] * 8, 1), (102, [float("nan")] * 9, 0), (103, [float("inf")] * 9, 2),
+             (104, [5.0] * 9, None), (None, [3.0] * 9, 1), (None, [2.0] * 9, 0), (200, [], 1), (220, [2.0], 2),
+             (240, [0.0] * 9, 0), rows[20], rows[20], (20, [3.0] * 9, 1), (260, [-4.0] * 9, 1), (280, [1e300] * 9, 0),
+             (-20, [1.5] * 9, 7)]
+    assert got(spark, rows, 20) == brute(rows, 20)
+
+
+def test_few_labels_and_empty(spark):
+    one = [(i, [1.0 * i, 2.0], 3) for i in range(0, 40, 4)]
+    assert got(spark, one, 20) == [] and got(spark, one[:0] + [(1, None, 1)], 20) == []
+    pair = [(20, [1.0, 0.0], 1), (21, [1.0, 0.0], 1), (22, [0.5, 9.0], 2)]
+    assert got(spark, pair, 20) == [(20, 21, 1, 22, 65536, 32768)]
+
+
+def test_relabelled(spark):
+    df = spark.createDataFrame([(7, 9), (14, 3), (8, 9), (None, 2), (21, None)], "vec_id long, label int")
+    out = ng.relabelled(df)
+    assert out.schema["label"].dataType == df.schema["label"].dataType
+    assert [r.label for r in out.collect()] == [0, 4, 9, 2, None]
+
+
+@pytest.mark.parametrize("group", [1, 3, 8])
+def test_scan_keeps_every_best_row(group):
+    """Whatever the order and grouping of the columns, the bitmap never loses a row that counts."""
+    rng = np.random.default_rng(group)
+    for _ in range(60):
+        cols = np.floor(rng.normal(size=(12, 150)) * 50) * (np.arange(12) < rng.integers(1, 13))[:, None]
+        q = np.floor(rng.normal(size=12) * 50 * rng.lognormal(0, 1.5, 12))
+        scores = q @ cols
+        low, high = np.sort(rng.choice(scores, 2))
+        spans = [(low, high, -np.inf), (np.median(scores), np.inf, rng.choice(scores))]
+        found, exact = ng.scan(q, cols, cols.min(1), cols.max(1), np.arange(150), spans, 4, group)
+        assert (exact == scores[found]).all()
+        for a, b, floor in spans:
+            inside = np.flatnonzero((scores >= max(a, floor)) & (scores <= b))
+            best = inside[np.lexsort((inside, -scores[inside]))][:4]
+            assert set(best) <= set(found)
+
+
+def test_scan_prunes():
+    rng = np.random.default_rng(9)
+    cols = np.floor(rng.normal(size=(32, 2000)) * 40)
+    q = np.floor(rng.normal(size=32) * 2000.0 * 0.6 ** np.arange(32))
+    found, _ = ng.scan(q, cols, cols.min(1), cols.max(1), np.arange(2000), [(-np.inf, np.inf, -np.inf)], 5, 4)
+    assert 5 <= len(found) < 200

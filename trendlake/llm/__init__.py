@@ -1,3 +1,4 @@
 """Operators of a training-data pipeline: quality, rules, token rollups,
 toxicity, repeated text, tokenization, page text, near duplicates, vector
-search and source mixing.  Nothing outside this subpackage imports it."""
+search, source mixing, whitening, archives and hard negatives.  Nothing
+outside this subpackage imports it."""

@@ -8,6 +8,9 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,19 @@ def word_count(text) -> "F.Column":
 def crc_remainder(id_col, modulus: int):
     """crc32 of the id written as text, modulo ``modulus`` (null ids: null)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(modulus)
+
+
+def finite(vector):
+    """Whether a vector Column is there and holds finite numbers only."""
+    v = vector.cast("array<double>")
+    return vector.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+
+
+def dense(lists: pa.Array, dim: int) -> np.ndarray:
+    """An Arrow list column without nulls as a matrix of doubles, shorter rows
+    filled up with zeros."""
+    length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lists), dim))
+    out[np.arange(dim)[None, :] < length[:, None]] = flat
+    return out

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from trendlake.llm import bpe, html, mixing, quality, rollup, rules, simhash, suffix, topk, toxicity
+from trendlake.llm import (bpe, html, mixing, negatives, quality, rollup, rules, simhash, suffix, topk, toxicity, warc,
+                           whitening)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_topk": topk.op9_topk,
     "op10_mixing": mixing.op10_mixing,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_warc": warc.op12_warc,
+    "op13_negatives": negatives.op13_negatives,
 }
 
 SQL = {
@@ -22,4 +26,6 @@ SQL = {
     "op3_token_rollup": rollup.OP3_SQL,
     "op9_topk": topk.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op12_warc": warc.OP12_SQL,
+    "op13_negatives": negatives.OP13_SQL,
 }
