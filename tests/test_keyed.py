@@ -257,3 +257,174 @@ def test_totals_may_start_late(spark, scratch):
     t = KeyedTable(spark, scratch, "id", file_rows=20, filter_bits=1 << 18, totals=[SPEC])
     t.upsert(items(spark, 90, 120, v=4), LATER)
     assert rows_of(t.read_totals("by_name")) == recomputed(t)
+
+
+# --- folder tables -------------------------------------------------------------------
+
+@pytest.mark.parametrize("values, kind", [(["01", "02", "1e3", "x/y", "2024-01-05"], "string"),
+                                          (["2024-01-05", "2024-02-01"], "date"), ([1, 2], "bigint")])
+def test_partition_values_keep_their_type(spark, scratch, values, kind):
+    from trendlake.sources.upsert import read_partitioned, write_upsert_partitioned
+    path = os.path.join(scratch, "p")
+    make = lambda rows: spark.createDataFrame(rows, "id long, v long, part string").withColumn(
+        "part", F.col("part").cast(kind))
+    first = [(i, i, str(values[i % len(values)])) for i in range(3 * len(values))]
+    write_upsert_partitioned(spark, path, make(first), "id", ["part"])
+    folders = sorted(x for x in os.listdir(path) if x.startswith("part="))
+    assert write_upsert_partitioned(spark, path, make([(0, 50, str(values[0]))]), "id", ["part"]) == 1
+    assert sorted(x for x in os.listdir(path) if x.startswith("part=")) == folders
+    got = {r.id: (r.v, str(r.part)) for r in read_partitioned(spark, path).collect()}
+    assert got == {i: (50 if i == 0 else v, p) for i, v, p in first}
+    assert read_partitioned(spark, path).count() == len(first)
+
+
+def test_empty_text_and_null_are_one_partition(spark, scratch):
+    from trendlake.sources.upsert import read_partitioned, write_upsert_partitioned
+    path, ddl = os.path.join(scratch, "p"), "id long, part string, v int"
+    write_upsert_partitioned(spark, path, spark.createDataFrame([(1, "", 1), (2, None, 1), (3, "a", 1)], ddl), "id", ["part"])
+    write_upsert_partitioned(spark, path, spark.createDataFrame([(1, None, 2), (2, "", 2), (3, "", 2)], ddl), "id", ["part"])
+    assert rows_of(read_partitioned(spark, path).select("id", "part", "v")) == [(1, None, 2), (2, None, 2), (3, None, 2)]
+    assert not os.path.exists(os.path.join(path, "part=a"))
+
+
+def test_partitioned_table_keeps_new_columns(spark, scratch):
+    from trendlake.sources.upsert import read_partitioned, write_upsert_partitioned
+    path = os.path.join(scratch, "p")
+    up = lambda rows, ddl: write_upsert_partitioned(spark, path, spark.createDataFrame(rows, ddl), "id", ["part"])
+    up([(1, "x", 1), (2, "y", 2)], "id long, part string, v int")
+    up([(2, "y", "E")], "id long, part string, extra string")
+    up([(3, "y", 3_000_000_000)], "id long, part string, v long")
+    assert rows_of(read_partitioned(spark, path).select("id", "part", "v", "extra")) == [
+        (1, "x", 1, None), (2, "y", 2, "E"), (3, "y", 3_000_000_000, None)]
+    with pytest.raises(SchemaConflict):
+        up([(1, 5)], "id long, part int")
+
+
+def test_folder_without_a_log_is_taken_over(spark, scratch):
+    from trendlake.sources.upsert import read_partitioned, write_upsert_partitioned
+    path = os.path.join(scratch, "p")
+    spark.createDataFrame([(1, "01", 1)], "id long, part string, v int").write.partitionBy("part").parquet(path)
+    spark.createDataFrame([(2, "02", 1, "E")], "id long, part string, v int, extra string").write.mode("append").partitionBy("part").parquet(path)
+    write_upsert_partitioned(spark, path, spark.createDataFrame([(1, "01", 9)], "id long, part string, v int"), "id", ["part"])
+    assert rows_of(read_partitioned(spark, path).select("id", "part", "v", "extra")) == [(1, "01", 9, None), (2, "02", 1, "E")]
+
+
+def test_versions_table_follows_the_schema_rules(spark, scratch):
+    from trendlake.sources.upsert import read_table, write_upsert
+    up = lambda rows, ddl: write_upsert(spark, scratch, spark.createDataFrame(rows, ddl), "id")
+    up([(1, 1), (2, 2)], "id int, v int")
+    up([(2, 3_000_000_000, "E")], "id long, v long, extra string")
+    up([(1, 7)], "id long, v int")
+    assert rows_of(read_table(spark, scratch).select("id", "v", "extra")) == [(1, 7, None), (2, 3_000_000_000, "E")]
+    with pytest.raises(SchemaConflict):
+        up([(1, "a")], "id long, v string")
+
+
+def test_versions_table_keeps_partition_types(spark, scratch):
+    from trendlake.sources.upsert import read_table, write_upsert
+    for rows in ([(1, "01", 1), (2, "2", 1)], [(2, "02", 5)]):
+        write_upsert(spark, scratch, spark.createDataFrame(rows, "id long, part string, v int"), "id", partition_by=["part"])
+    assert rows_of(read_table(spark, scratch).select("id", "part", "v")) == [(1, "01", 1), (2, "02", 5)]
+
+
+# --- streams -------------------------------------------------------------------------
+
+SCHEMA = "id long, v long, at timestamp, tags array<string>"
+
+
+def land(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+        f.write("\n".join(rows))
+
+
+def test_first_seen_over_runs(spark, scratch):
+    from pyspark.sql.types import StructType
+    from trendlake.streaming.ingest import first_seen
+    src, out, ck = (os.path.join(scratch, x) for x in ("in", "out", "ck"))
+
+    def run():
+        stream = first_seen(spark.readStream.schema(StructType.fromDDL(SCHEMA)).json(src), "id", ["at"])
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(
+            availableNow=True).start().awaitTermination()
+        return rows_of(spark.read.parquet(out).select("id", "v", F.date_format("at", "HH:mm:ss.SSSSSS"), "tags"))
+
+    land(src, "a.json", ['{"id":1,"v":9,"at":"2024-01-01T10:00:02.000001Z","tags":["x"]}', '{"id":1,"v":2,"at":"2024-01-01T10:00:01.123456Z"}',
+                         '{"id":2,"v":3}', '{"v":4}'])
+    first = run()
+    assert first == sorted([(1, 2, "10:00:01.123456", None), (2, 3, None, None), (None, 4, None, None)], key=repr)
+    land(src, "b.json", ['{"id":1,"v":7,"at":"2020-01-01T00:00:00Z"}', '{"id":3,"v":1}', '{"v":4}'])
+    assert run() == sorted(first + [(3, 1, None, None), (None, 4, None, None)], key=repr)
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_stream_epochs_are_committed_once(spark, scratch, monkeypatch, keyed):
+    """A run that dies after its table was written, but before its epoch was
+    logged: the rerun gives the rows, stamps and versions of one run."""
+    from pyspark.sql.types import StructType
+    from trendlake import REFERENCE_ROLES as R
+    from trendlake.sources import upsert as up
+    from trendlake.streaming import ingest as ing
+    schema = StructType.fromDDL("id long, v long, updated_at string")
+
+    def run(name, **more):
+        path = os.path.join(scratch, name)
+        return ing.ingest_stream(spark, os.path.join(scratch, "in"), path, path + "-ck", R, schema=schema, source_format="json",
+                                 options={"multiLine": "false"}, keyed=keyed, **more)
+
+    def state(name):
+        path = os.path.join(scratch, name)
+        if keyed:
+            t = KeyedTable(spark, path, "id")
+            return t.version(), rows_of(t.read())
+        return len(up.versions(spark, path)), rows_of(up.read_table(spark, path))
+
+    def dying(target, name):
+        real = getattr(target, name)
+
+        def broken(*a, **k):
+            real(*a, **k)
+            raise RuntimeError("lost after the commit")
+        monkeypatch.setattr(target, name, broken)
+        with pytest.raises(Exception):
+            run("two", ingested_at=AT)
+        monkeypatch.setattr(target, name, real)
+
+    land(os.path.join(scratch, "in"), "a.json", ['{"id":1,"v":1,"updated_at":"1"}', '{"id":2,"v":1,"updated_at":"1"}'])
+    run("one", ingested_at=AT)
+    run("two", ingested_at=AT)
+    land(os.path.join(scratch, "in"), "b.json", ['{"id":2,"v":5,"updated_at":"2"}', '{"id":3,"v":1,"updated_at":"1"}'])
+    run("one", ingested_at=AT)
+    dying(*((KeyedTable, "upsert") if keyed else (ing, "write_upsert")))
+    done = state("two")
+    run("two", ingested_at=LATER)                               # replay: skipped, stamps included
+    assert state("two") == done == state("one")
+    land(os.path.join(scratch, "in"), "c.json", ['{"id":3,"v":8,"updated_at":"3"}'])
+    run("one", ingested_at=LATER)
+    run("two", ingested_at=LATER)
+    assert state("two") == state("one")
+
+
+def test_stream_takes_each_key_once(spark, scratch):
+    from pyspark.sql.types import StructType
+    from trendlake import REFERENCE_ROLES as R
+    from trendlake.streaming.ingest import ingest_stream
+    schema, src, path = StructType.fromDDL("id long, v long, updated_at string"), os.path.join(scratch, "in"), os.path.join(scratch, "t")
+    spec = Totals("all", {"one": "1"}, {"v": "v"})
+    for name, rows in (("a.json", ['{"id":1,"v":1,"updated_at":"1"}', '{"id":1,"v":2,"updated_at":"2"}']),
+                       ("b.json", ['{"id":1,"v":3,"updated_at":"3"}', '{"id":2,"v":4,"updated_at":"1"}'])):
+        land(src, name, rows)
+        ingest_stream(spark, src, path, path + "-ck", R, schema=schema, options={"multiLine": "false"}, keyed=True, totals=[spec],
+                      only_first=True, order_by=["updated_at"], ingested_at=AT)
+    t = KeyedTable(spark, path, "id")
+    assert [r[:2] for r in rows_of(t.read())] == [(1, 1), (2, 4)] and rows_of(t.read_totals("all")) == [(1, 2, 5)]
+    assert t.epoch(path + "-ck") == 1
+
+
+def test_mark_errors_are_not_taken_for_no_mark(spark, scratch):
+    from trendlake.sources import io
+    assert io.load_mark(spark, os.path.join(scratch, "none")) is None
+    with open(os.path.join(scratch, "broken"), "w", encoding="utf-8") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        io.load_mark(spark, os.path.join(scratch, "broken"))

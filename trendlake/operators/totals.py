@@ -24,14 +24,17 @@ COUNT = "row_count"
 class Totals:
     """What to maintain: ``by`` (group column -> SQL expression over a row) and
     ``sums`` (total column -> SQL expression); doubles and floats are summed as
-    decimals with ``scale`` digits after the point (half up)."""
+    decimals with ``scale`` digits after the point (half up); ``absent`` names columns
+    (with their types) that count as null while the table does not have them."""
     name: str
     by: Mapping[str, str]
     sums: Mapping[str, str] = field(default_factory=dict)
     scale: int = 6
+    absent: Mapping[str, str] = field(default_factory=dict)
 
     def parts(self, rows: DataFrame, sign: int) -> DataFrame:
         """One row per group of ``rows``: signed count and signed sums."""
+        rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in self.absent.items() if c not in rows.columns})
         d = rows.select(*[F.expr(e).alias(n) for n, e in self.by.items()],
                         *[F.expr(e).alias(n) for n, e in self.sums.items()])
         return d.groupBy(*self.by).agg(

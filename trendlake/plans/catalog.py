@@ -22,11 +22,13 @@ from trendlake.operators import ingest as ing
 from trendlake.operators import prepare as prep
 from trendlake.operators.features import features
 from trendlake.operators.quality import quality_report
+from trendlake.operators.totals import Totals
 from trendlake.operators.window import yoy_growth
 from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, LINEITEM, ORDERS, PART,
                                     lineitem_with_tags, part_with_tags, table)
 from trendlake.session import ensure_checkpoint_dir
 from trendlake.sources import io
+from trendlake.sources.keyed import KeyedTable
 from trendlake.sources.upsert import upsert, upsert_stats
 
 # Fixed parameters of the catalogue queries.
@@ -280,6 +282,51 @@ def q_upsert_stats(spark, d):
     return upsert_stats(target, batch, "o_orderkey", "o_orderdate")
 
 
+# --- keyed table: three batches, schema history, maintained totals ----------------
+
+PRIORITY_TOTALS = Totals("priority_year", {"o_orderpriority": "o_orderpriority", "year": "year(o_orderdate)"},
+                         {"total_price": "CAST(o_totalprice AS DECIMAL(18,2))", "seasons": "season"},
+                         scale=2, absent={"o_totalprice": "double"})
+
+
+def keyed_batches(spark, d):
+    """Three batches over all orders: those before 1999 without a price; from 1997
+    on with the price (a new column), the season as a long (widened) and without the
+    status (absent); from 2000 on again, a priority further and repriced."""
+    o = table(spark, d, "orders")
+    since = lambda year: o.where(F.col("o_orderdate") >= F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz"))
+    before = o.where(F.col("o_orderdate") < F.lit(UPSERT_TARGET_BEFORE).cast("timestamp_ntz"))
+    season = F.quarter("o_orderdate")
+    return [
+        before.select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority", season.cast("int").alias("season")),
+        since(1997).select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice", season.cast("long").alias("season")),
+        since(2000).select("o_orderkey", "o_orderdate", F.concat(F.lit("late "), "o_orderpriority").alias("o_orderpriority"),
+                           (F.col("o_totalprice") + 10).alias("o_totalprice"), (season + 4).cast("long").alias("season"))]
+
+
+def keyed_orders(spark, d) -> KeyedTable:
+    """A keyed table after the three batches (in a fresh folder of the shared directory)."""
+    batches = keyed_batches(spark, d)
+    t = KeyedTable(spark, f"{ensure_checkpoint_dir(spark)}/keyed-{uuid.uuid4().hex}", "o_orderkey", "o_orderdate",
+                   totals=[PRIORITY_TOTALS])
+    for epoch, batch in enumerate(batches):
+        t.upsert(batch, INGESTED_AT, "batches", epoch)
+    t.upsert(batches[1], INGESTED_AT, "batches", 1)      # a replay: skipped
+    return t
+
+
+def q_keyed_upsert(spark, d):
+    return keyed_orders(spark, d).read()
+
+
+def q_maintained_totals(spark, d):
+    return keyed_orders(spark, d).read_totals(PRIORITY_TOTALS.name)
+
+
+def q_schema_drift(spark, d):
+    return keyed_orders(spark, d).drift(0, 2)
+
+
 # --- forecasting --------------------------------------------------------------
 
 def orders_yearly(spark, d):
@@ -393,6 +440,9 @@ QUERIES: dict[str, Query] = {
     "enrich_tags": q_enrich_tags,
     "upsert": q_upsert,
     "upsert_stats": q_upsert_stats,
+    "keyed_upsert": q_keyed_upsert,
+    "maintained_totals": q_maintained_totals,
+    "schema_drift": q_schema_drift,
     "forecast": q_forecast,
     "forecast_band": q_forecast_band,
     "holdout_linear": q_holdout_linear,

@@ -149,10 +149,10 @@ def register(df: DataFrame, name: str) -> DataFrame:
 def load_mark(spark: SparkSession, path: str, mark_id: str = "fetch_checkpoint") -> tuple | None:
     """(last_fetched_at, record_count) of the stored mark, None if absent.
     Marks are appended, the latest time counts: the mark never goes back, and
-    an append that fails leaves the earlier ones as they are."""
-    try:
-        marks = spark.read.schema(MARK_SCHEMA).parquet(path)
-    except AnalysisException:
+    an append that fails leaves the earlier ones as they are.  Only a missing
+    path means no mark; any other error is raised."""
+    marks = read_or_none(spark.read.schema(MARK_SCHEMA).parquet, path)
+    if marks is None:
         return None
     rows = (marks.where((F.col("_id") == mark_id) & F.col("last_fetched_at").isNotNull())
             .orderBy(F.desc("last_fetched_at"), F.desc("record_count")).take(1))

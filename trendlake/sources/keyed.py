@@ -37,7 +37,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -76,6 +76,7 @@ class KeyedTable:
                  totals: Sequence[Totals] = (), file_rows: int = FILE_ROWS, filter_bits: int = FILTER_BITS):
         self.spark, self.path, self.key, self.update_time = spark, path.rstrip("/"), key, update_time
         self.totals, self.file_rows, self.filter_bits = list(totals), file_rows, filter_bits
+        self._known: dict[int, dict] = {}       # facts of versions, which never change
 
     # --- versions ------------------------------------------------------------------
 
@@ -96,14 +97,22 @@ class KeyedTable:
         number = self.version() if version is None else version
         if number is None:
             return None
-        rows = self.spark.read.parquet(self._log(number)).where("facts IS NOT NULL").select("facts").collect()
-        return json.loads(rows[0][0])
+        if number not in self._known:
+            rows = self.spark.read.schema("facts string").parquet(self._log(number)).where("facts IS NOT NULL").collect()
+            self._known[number] = json.loads(rows[0][0])
+        return self._known[number]
+
+    def _schema(self, version: int) -> StructType:
+        return StructType.fromJson(json.loads(self.facts(version)["schema"]))
+
+    def _bounds(self, schema: StructType) -> str:
+        kind = schema[self.key].dataType.simpleString()
+        return f"file string, n_rows long, min_key {kind}, max_key {kind}"
 
     def files(self, version: int | None = None) -> DataFrame:
         """Files of a version: file, n_rows, min_key, max_key."""
         number = self.version() if version is None else version
-        return (self.spark.read.parquet(self._log(number)).where("file IS NOT NULL")
-                .select("file", "n_rows", "min_key", "max_key"))
+        return self.spark.read.schema(self._bounds(self._schema(number))).parquet(self._log(number)).where("file IS NOT NULL")
 
     def _rows(self, names: list[str], schema: StructType) -> DataFrame:
         if not names:
@@ -175,7 +184,7 @@ class KeyedTable:
 
     def _by_filter(self, files: DataFrame, keys: DataFrame, writes: list[str]) -> DataFrame:
         """Files (of step 1) whose filter has the bit of a batch key in their range."""
-        index = self.spark.read.parquet(*[f"{self.path}/index/{w}" for w in writes]).join(files, "file")
+        index = self.spark.read.schema("file string, bucket long, bits binary").parquet(*[f"{self.path}/index/{w}" for w in writes]).join(files, "file")
         at = self._position(keys)
         probe = keys.select(F.col(self.key).alias("k"), F.bitmap_bucket_number(at).alias("bucket"),
                             F.bitmap_bit_position(at).alias("bit"))
@@ -194,17 +203,21 @@ class KeyedTable:
         if number is None:
             return []
         ensure_checkpoint_dir(self.spark)
-        near = self._by_range(self.files(number), keys).checkpoint()
-        names = [r[0] for r in near.select("file").collect()]
-        facts = self.facts(number)
-        if names and self._filters_hold(facts) and len(names) * keys.count() <= PROBES:
+        return self._touched(number, keys, _side(keys), keys.count())
+
+    def _touched(self, number: int, keys: DataFrame, side: DataFrame, n_keys: int) -> list[str]:
+        schema = self._schema(number)
+        near = self._by_range(self.files(number), keys).collect()
+        names = [r["file"] for r in near]
+        if names and self._filters_hold(self.facts(number)) and len(names) * n_keys <= PROBES:
             writes = sorted({n.split("/")[0] for n in names})
-            names = [r[0] for r in self._by_filter(near, keys, writes).collect()]
+            kind = schema[self.key].dataType.simpleString()
+            bounds = self.spark.createDataFrame(near, f"file string, min_key {kind}, max_key {kind}")
+            names = [r[0] for r in self._by_filter(bounds, keys, writes).collect()]
         if not names:
             return []
-        schema = StructType.fromJson(json.loads(facts["schema"]))
         held = self._rows(sorted(names), StructType([schema[self.key]])).select(self.key, self._file_name().alias("file"))
-        return sorted(r[0] for r in held.join(_side(keys), self.key, "left_semi").select("file").distinct().collect())
+        return sorted(r[0] for r in held.join(side, self.key, "left_semi").select("file").distinct().collect())
 
     # --- writing ---------------------------------------------------------------------
 
@@ -222,15 +235,17 @@ class KeyedTable:
         schema = merged_schema(old, fresh.schema)
         # written once: every later step reads the same rows and the same stamp
         fresh = widened_to(fresh, schema).checkpoint()
-        if fresh.isEmpty():
-            return Commit(now, False) if now is not None else Commit(-1, False)
+        size = fresh.agg(F.count(F.lit(1)).alias("n"), F.first(STAMP).alias("stamp")).first()
+        if not size["n"]:
+            return Commit(-1 if now is None else now, False)
         keys = fresh.select(self.key)
-        names = self.touched(keys)
+        fits = keys_fit_broadcast(keys)
+        side = F.broadcast(keys) if fits else keys
+        names = self._touched(now, keys, side, size["n"]) if now is not None else []
         held = self._rows(names, schema)
         after = widened_to(fresh, schema)
         if names:
-            stamp = fresh.select(STAMP).first()[0]
-            after = upsert(held, fresh.drop(STAMP), self.key, None, stamp)
+            after = upsert(held, fresh.drop(STAMP), self.key, None, size["stamp"], broadcast_keys=fits)
         present = set(after.columns)
         after = after.select(*[F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
                                for f in schema.fields])
@@ -238,7 +253,7 @@ class KeyedTable:
         (after.repartitionByRange(self.key).sortWithinPartitions(self.key)
          .write.option("maxRecordsPerFile", self.file_rows).parquet(f"{self.path}/data/{write}"))
         added = self._index(write, schema)
-        totals = {t.name: self._follow(t, facts, held if names else None, write, keys, schema) for t in self.totals}
+        totals = {t.name: self._follow(t, facts, held if names else None, write, side, schema) for t in self.totals}
         return self._commit(now, facts, schema, names, added, write, totals, stream, epoch)
 
     def _index(self, write: str, schema: StructType) -> DataFrame:
@@ -252,10 +267,9 @@ class KeyedTable:
         return rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.min(self.key).alias("min_key"),
                                         F.max(self.key).alias("max_key"))
 
-    def _follow(self, spec: Totals, facts: dict | None, held: DataFrame | None, write: str, keys: DataFrame,
+    def _follow(self, spec: Totals, facts: dict | None, held: DataFrame | None, write: str, side: DataFrame,
                 schema: StructType) -> str:
         """Write the totals after a change; reads the touched files (old and new) and the totals before."""
-        side = _side(keys)
         new = self.spark.read.schema(schema).parquet(f"{self.path}/data/{write}").join(side, self.key, "left_semi")
         gone = held.join(side, self.key, "left_semi") if held is not None else None
         before = None
@@ -278,8 +292,7 @@ class KeyedTable:
             epochs[stream] = epoch
         told = {"schema": schema.json(), "history": history, "epochs": epochs, "write": write,
                 "totals": {**(facts["totals"] if facts else {}), **totals}}
-        kind = schema[self.key].dataType.simpleString()
-        columns = f"file string, n_rows long, min_key {kind}, max_key {kind}"
+        kind, columns = schema[self.key].dataType.simpleString(), self._bounds(schema)
         kept = self.spark.createDataFrame([], columns)
         if now is not None:
             gone = self.spark.createDataFrame([(n,) for n in dropped], "file string")
@@ -290,9 +303,10 @@ class KeyedTable:
         place = self._log(number)
         if exists(self.spark, place):
             delete(self.spark, place)       # an incomplete version of a run that failed: never read
-        listed.hint("rebalance").write.mode("errorifexists").parquet(place)
-        n = self.files(number).agg(F.count(F.lit(1)), F.count_if(F.startswith("file", F.lit(write)))).first()
-        return Commit(number, True, len(dropped), n[0] - n[1], n[1])
+        seen = Observation()
+        (listed.observe(seen, F.count("file").alias("all"), F.count_if(F.startswith("file", F.lit(write))).alias("new"))
+         .hint("rebalance").write.mode("errorifexists").parquet(place))
+        return Commit(number, True, len(dropped), seen.get["all"] - seen.get["new"], seen.get["new"])
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Keep the last ``keep`` versions; delete older ones and every file, filter

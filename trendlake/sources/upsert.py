@@ -4,16 +4,19 @@ system Spark can reach (paths are only ever opened through Spark / Hadoop)."""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from trendlake.operators.ingest import dedupe_first
 from trendlake.session import broadcast_threshold, ensure_checkpoint_dir
 from trendlake.sources.files import children, delete, exists
+from trendlake.sources.schemas import SchemaConflict, log_schema, logged_schema, merged_schema, widened_to
 
 STAMP = "ingested_at"
 
@@ -161,31 +164,59 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """Current version of a copy-on-write table in the schema of its log, so that
+    partition values keep their types; None without a version."""
     v = current_version(spark, path)
-    return spark.read.parquet(v) if v else None
+    if not v:
+        return None
+    schema = logged_schema(spark, path)
+    return spark.read.parquet(v) if schema is None else spark.read.schema(schema).parquet(v)
+
+
+def _epoch_mark(stream: str) -> str:
+    return f"-s{hashlib.sha256(stream.encode()).hexdigest()[:16]}e"
+
+
+def committed_epoch(spark: SparkSession, path: str, stream: str) -> int | None:
+    """Last epoch of ``stream`` that a kept version of a copy-on-write table holds."""
+    mark = _epoch_mark(stream)
+    found = [int(v.rsplit(mark, 1)[1]) for v in versions(spark, path) if mark in v.rsplit("/", 1)[1]]
+    return max(found) if found else None
 
 
 def write_upsert(spark: SparkSession, path: str, batch: DataFrame, key: str,
                  update_time: str | None = None, ingested_at=None,
-                 partition_by: Sequence[str] = (), keep_versions: int = 2) -> str:
+                 partition_by: Sequence[str] = (), keep_versions: int = 2,
+                 stream: str | None = None, epoch: int | None = None) -> str:
     """Upsert ``batch`` into the table at ``path`` and return the new version.
 
+    Columns follow the rules of ``schemas``.  With ``stream`` and ``epoch`` the
+    epoch is part of the version's name, so both become visible together, and an
+    epoch that a kept version already holds is skipped (the current version is
+    returned); one stream per table is assumed.
+
     The new table is written to a fresh version folder, which readers see
     only once it is complete; a failed or retried job never exposes a
     half-written table.  The last ``keep_versions`` versions stay (at least
     the new one and, for readers that have opened it, the one before), older
     ones are deleted after the write.  One writer at a time is assumed.  The whole
-    table is rewritten: large tables use ``write_upsert_partitioned``.
+    table is rewritten: large tables use ``KeyedTable`` or ``write_upsert_partitioned``.
     """
+    if stream is not None and epoch <= (-1 if (done := committed_epoch(spark, path, stream)) is None else done):
+        return current_version(spark, path)
     old = read_table(spark, path)
+    schema = merged_schema(old.schema if old is not None else StructType([]), batch.schema)
     if old is None:
         new = latest_per_key(batch, key, update_time).withColumn(STAMP, _stamp(ingested_at))
     else:
-        new = upsert(old, batch, key, update_time, ingested_at)
+        new = upsert(widened_to(old, schema), widened_to(batch, schema), key, update_time, ingested_at)
+    log_schema(spark, path, merged_schema(schema, new.schema))
     known = versions(spark, path)
     number = int(known[-1].rsplit("/v-", 1)[1].split("-")[0]) + 1 if known else 0
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     version = f"{path.rstrip('/')}/v-{number:012d}-{stamp}-{uuid.uuid4().hex[:8]}"
+    if stream is not None:
+        version += f"{_epoch_mark(stream)}{epoch}"
     w = new.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -209,6 +240,22 @@ def _among(columns: Sequence[str], rows) -> F.Column:
 PRUNE_PARTITIONS = 1000
 
 
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of ``write_upsert_partitioned`` in the schema of its log: partition
+    values in their stored types (never inferred from folder names), columns
+    that a file was written without null."""
+    schema = logged_schema(spark, path)
+    return spark.read.schema(schema).parquet(path) if schema is not None else None
+
+
+def _unlogged_schema(spark: SparkSession, path: str, batch: StructType, cols: Sequence[str]) -> StructType:
+    """Schema of a folder written without a log: that of all its files, with the
+    partition columns in the batch's types."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    types = {f.name: f.dataType for f in batch.fields}
+    return StructType([StructField(f.name, types[f.name] if f.name in cols else f.dataType, True) for f in found.fields])
+
+
 def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: str,
                              partition_by: Sequence[str], update_time: str | None = None,
                              ingested_at=None) -> int:
@@ -224,23 +271,38 @@ def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, k
     replaced by dynamic partition overwrite; every other partition's files
     stay.  A partition that loses its last row is deleted after the write.
     Each partition is replaced on its own: atomic per partition, not across.
+
+    Columns follow the rules of ``schemas``; the table's schema is logged beside
+    its files and every read asks for it.  Partition columns keep their type.
+    Folders cannot tell an empty text from a missing value: both are the null
+    partition, in the batch as in the table.
     """
     ensure_checkpoint_dir(spark)
-    fresh = latest_per_key(batch, key, update_time).checkpoint()
     cols = list(partition_by)
     writer_opts = {"partitionOverwriteMode": "dynamic"}
-    parts = fresh.select(*cols).distinct()
+    fresh = latest_per_key(batch, key, update_time)
+    fresh = fresh.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in cols
+                               if fresh.schema[c].dataType.simpleString() == "string"})
     if not exists(spark, path):
-        (fresh.withColumn(STAMP, _stamp(ingested_at)).write.mode("overwrite").options(**writer_opts)
+        log_schema(spark, path, merged_schema(StructType([]), fresh.withColumn(STAMP, _stamp(ingested_at)).schema))
+    stored = logged_schema(spark, path) or _unlogged_schema(spark, path, fresh.schema, cols)
+    schema = merged_schema(stored, fresh.withColumn(STAMP, _stamp(ingested_at)).schema)
+    for c in cols:
+        if c in stored.fieldNames() and schema[c].dataType != stored[c].dataType:
+            raise SchemaConflict(f"{c}: a partition column keeps its type {stored[c].dataType.simpleString()}")
+    fresh = widened_to(fresh, schema).checkpoint()
+    log_schema(spark, path, schema)
+    parts = fresh.select(*cols).distinct()
+    if not children(spark, path, f"{_escaped(cols[0])}="):
+        (fresh.withColumn(STAMP, _stamp(ingested_at)).write.mode("append")
          .partitionBy(*cols).parquet(path))
         return parts.count()
-    table = spark.read.parquet(path)
+    table = spark.read.schema(schema).parquet(path)
     keys = fresh.select(key)
     if keys_fit_broadcast(keys):
         keys = F.broadcast(keys)
     held = table.select(key, *cols).join(keys, key, "left_semi").select(*cols)
-    types = {f.name: f.dataType for f in fresh.schema.fields}
-    parts = parts.unionByName(held.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])).distinct().checkpoint()
+    parts = parts.unionByName(held).distinct().checkpoint()
     n = parts.count()
     if n <= PRUNE_PARTITIONS:
         touched = table.where(_among(cols, parts.collect()))
@@ -250,7 +312,7 @@ def write_upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, k
         for c in cols:
             on = on & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
         touched = table.join(named, on, "left_semi")
-    new = upsert(touched, batch, key, update_time, ingested_at).checkpoint()
+    new = upsert(touched, fresh, key, update_time, ingested_at).checkpoint()
     (new.hint("rebalance", *cols).write.mode("overwrite").options(**writer_opts)
      .partitionBy(*cols).parquet(path))
     emptied = parts.join(new.select(*[F.col(c).alias(f"_n_{c}") for c in cols]).distinct(),
@@ -265,6 +327,9 @@ _ESCAPED = "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))
 
 def _partition_folder(column: str, value) -> str:
     """Folder name of a partition value, escaped as Spark's writers do."""
-    esc = lambda x: "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in x)
-    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else esc(str(value))
-    return f"{esc(column)}={text}"
+    text = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else _escaped(str(value))
+    return f"{_escaped(column)}={text}"
+
+
+def _escaped(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
