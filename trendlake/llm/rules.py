@@ -5,15 +5,19 @@ turns the table into one boolean column per rule; ``apply_rules`` adds measures
 and verdicts in built-in expressions only - no shuffle, no Python on the
 executors.
 
-Repeated 3-word windows of a text are found inside its row: the windows are
-sorted together with their positions, equal neighbours mark the repeated ones,
-and their sorted positions give the number of covered words, so a text of n
-words costs O(n log n) whatever its repeats, and windows are compared as
-strings (exact).
+Repeated 3-word windows of a text are found inside its row.  Distinct window
+hashes prove that no window repeats; else all windows are sorted by hash, then by
+their words, then by position, so that equal windows are neighbours: those whose
+words equal a neighbour's are repeated (exact, whatever the hashes do), and their
+sorted positions give the number of covered words.  A text of n words costs
+O(n log n) whatever its repeats.  Windows refer to the words of the text; no
+strings are built for them.
 
 Defined cases: null and empty texts have no words, all counts 0, base_failed
-true, kept false.  Ratios over an empty base are 0.  Repeated rows are judged
-one by one; other columns are not read.
+true, kept false; an empty table gives no rows.  Ratios over an empty base are 0.
+A very long text is one row's arrays of words and windows, in memory a few
+dozen bytes a word.  Repeated rows and ties are judged one by one; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -49,39 +53,58 @@ STOP_WORDS = (
     "al como con del el es lo los las más no para por su una y").split()
 
 
+def _let(value, body):
+    """``body(value)`` with ``value`` computed once and handed on by reference: a
+    column of its own would be copied into the row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+SPACE = r"[\x20\x09-\x0D]"
+
+
+def repeat_words(words):
+    """How many words of the array lie in a 3-word window found twice or more."""
+    count = F.greatest(F.size(words) - 2, F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(words, F.lit(k), count).alias(x) for k, x in ((1, "a"), (2, "b"), (3, "c"))])
+    digest = lambda x: F.xxhash64(x["a"], x["b"], x["c"])
+    window = lambda x, i: F.struct(digest(x).alias("h"), x["a"].alias("a"), x["b"].alias("b"), x["c"].alias("c"),
+                                   (i + 1).alias("i"))
+    same = lambda p: ((p["x"]["h"] == p["y"]["h"]) & (p["x"]["a"] == p["y"]["a"])
+                      & (p["x"]["b"] == p["y"]["b"]) & (p["x"]["c"] == p["y"]["c"]))
+    # each window beside the next one in sorted order; the last has none
+    pairs = lambda win: F.filter(F.arrays_zip(
+        F.slice(win, F.lit(1), F.size(win) - 1).alias("x"), F.slice(win, F.lit(2), F.size(win) - 1).alias("y")), same)
+    places = lambda hit: F.array_distinct(F.concat(F.transform(hit, lambda x: x["x"]["i"]),
+                                                   F.transform(hit, lambda x: x["y"]["i"])))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+    step = lambda a, p: F.struct((a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n"), (p + 3).alias("end"))
+    covered = lambda at: F.aggregate(F.sort_array(at), start, step, lambda a: a["n"])
+    exact = lambda z: _let(F.sort_array(F.transform(z, window)), lambda win: _let(
+        pairs(win), lambda hit: covered(places(hit))))
+    return _let(zipped, lambda z: _let(F.transform(z, digest), lambda h: F.when(
+        F.size(F.array_distinct(h)) < F.size(h), exact(z)).otherwise(0)))
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and
     the measures of the rule table."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", text.alias("_t"))
-    d = d.select("doc_id", "_t", F.filter(F.split("_t", r"[\x20\x09-\x0D]+", -1), lambda w: w != "").alias("_w"),
-                 F.filter(F.split("_t", "\n", -1), lambda x: F.translate(x, SPACES, "") != "").alias("_lines"))
-    d = d.withColumn("n_words", F.size("_w").cast("long"))
-    window = lambda i: F.struct(F.concat_ws(" ", F.element_at("_w", i), F.element_at("_w", i + 1),
-                                            F.element_at("_w", i + 2)).alias("w"), i.alias("i"))
-    d = d.withColumn("_win", F.when(F.col("n_words") >= 3, F.sort_array(F.transform(
-        F.sequence(F.lit(1), F.col("n_words").cast("int") - 2), window)))
-        .otherwise(F.array().cast("array<struct<w:string,i:int>>")))
-    last = F.size("_win")
-    same = lambda x, k: F.when((k >= 1) & (k <= last), F.element_at("_win", k)["w"] == x["w"]).otherwise(F.lit(False))
-    # k is 0-based: element k is the one before, k + 2 the one after (1-based).
-    repeated = F.filter("_win", lambda x, k: same(x, F.when(k >= 1, k).otherwise(F.lit(None)))
-                        | same(x, F.when(k + 2 <= last, k + 2).otherwise(F.lit(None))))
-    d = d.withColumn("_at", F.sort_array(F.transform(repeated, lambda x: x["i"])))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    step = lambda a, p: F.struct((a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n"), (p + 3).alias("end"))
-    d = d.withColumn("n_repeat_words", F.aggregate("_at", start, step, lambda a: a["n"]).cast("long"))
-    chars = F.length(F.translate("_t", SPACES, ""))
-    symbols = F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))
-    stop = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
+    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_t")).select(
+        "doc_id", "_t", F.split("_t", SPACE, -1).alias("_s"))
+    # one piece more than separators; words are the pieces that are not empty
+    d = d.select("doc_id", "_t", F.array_remove("_s", "").alias("_w"), (F.size("_s") - 1).alias("_spaces"))
+    lines = F.filter(F.split("_t", "\n", -1), lambda x: F.ltrim(x, F.lit(SPACES)) != "")
+    plain = F.split(F.regexp_replace(F.lower("_t"), "[.,;:]+", ""), SPACE, -1)
     d = d.select(
-        "doc_id", "n_words", chars.cast("long").alias("word_chars"), symbols.cast("long").alias("n_symbols"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
-        F.size("_lines").alias("_n_lines"),
-        (F.length("_t") - F.length(F.translate("_t", "!", ""))).alias("_bangs"),
+        "doc_id", F.size("_w").cast("long").alias("n_words"), (F.length("_t") - F.col("_spaces")).cast("long").alias("word_chars"),
+        F.regexp_count("_t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
+        repeat_words(F.col("_w")).cast("long").alias("n_repeat_words"),
+        _let(lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("distinct"))).alias("_lines"),
+        (F.length("_t") - F.length(F.replace("_t", F.lit("!"), F.lit("")))).alias("_bangs"),
         F.regexp_count("_t", F.lit(r"\p{Lu}")).alias("_upper"),
         F.size(F.array_distinct("_w")).alias("_distinct"),
-        F.size(F.filter("_w", lambda w: F.lower(F.translate(w, ".,;:", "")).isin(*sorted(set(STOP_WORDS))))).alias("_stops"))
+        F.size(F.filter(plain, lambda w: w.isin(*sorted(set(STOP_WORDS))))).alias("_stops"))
+    d = d.withColumns({"_n_lines": F.col("_lines.all"),
+                       "n_dup_lines": (F.col("_lines.all") - F.col("_lines.distinct")).cast("long")})
     per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     return d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
