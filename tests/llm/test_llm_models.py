@@ -66,6 +66,49 @@ def test_quality_on_awkward_rows(spark):
     assert quality.fit(df.limit(0), labels)[0].any() == False  # noqa: E712
 
 
+def test_labels_of_absent_documents_do_not_use_up_the_sample(spark):
+    df, labels = labelled(spark)
+    absent = spark.range(10_000, 20_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "0 AS toxic")
+    a, b = quality.fit(df, labels, n_documents=50), quality.fit(df, labels.unionByName(absent), n_documents=50)
+    assert a[0].any() and np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
+
+
+def test_quality_sample_ignores_copies_order_and_long_texts(spark):
+    """Repeated ids with different texts, copies and the layout leave reruns alike; the line bound holds."""
+    df, labels = labelled(spark)
+    more = df.unionByName(docs(spark, [GOOD + " other"], ids=[1], extra=True)).unionByName(df.where("doc_id % 3 = 0"))
+    a, b = quality.fit(more, labels), quality.fit(more.repartition(7), labels)
+    assert a[0].any() and np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
+    long = df.unionByName(docs(spark, ["\n".join([JUNK] * 500)], ids=[62], extra=True))
+    extra = labels.unionByName(spark.createDataFrame([(62, 0, 1)], labels.schema))
+    assert np.array_equal(quality.fit(long, extra, n_lines=200)[0], quality.fit(df, labels, n_lines=200)[0])
+
+
+def test_long_chains_and_sliced_features_change_nothing(monkeypatch):
+    rng = np.random.default_rng(4)
+    trans, w = rng.normal(size=(2, 2)) * 2, rng.normal(size=(quality.N_FEATURES, 2))
+    for n in (1, 2, 3, 10, 17, 400):
+        state = rng.normal(size=(n, 2)) * 3
+        assert np.allclose(crf.long_marginals(state, trans), crf.marginals(state, np.array([0, n]), trans)[1], atol=1e-12)
+    texts = ["\n".join(f"line {rng.integers(9)} {'WOW!' * int(rng.integers(3))}" for _ in range(n)) for n in (1, 40, 41, 80, 99)]
+    plain_scores = quality.document_scores([None, *texts, ""], w, trans)
+    monkeypatch.setattr(quality, "LINES_AT_ONCE", 20)
+    monkeypatch.setattr(quality, "LONG_CHAIN", 30)
+    assert np.allclose(quality.document_scores([None, *texts, ""], w, trans), plain_scores, atol=2e-9)
+    # brute force of the score: marginals by enumeration, weighted by length
+    text = "good line\nBAD LINE!!\n\nshort\nanother good line here"
+    x, lengths = quality.line_features(text)
+    _, node, _ = brute_chain(x.astype(float) @ w, trans)
+    assert quality.document_scores([text], w, trans)[0] == pytest.approx((lengths * node[:, 1]).sum() / lengths.sum(), abs=1e-8)
+
+
+def test_many_lines_are_scored_in_reasonable_time():
+    import time
+    start = time.time()
+    score = quality.document_scores([(JUNK[:4] + "\n") * 200_000], np.ones((quality.N_FEATURES, 2)), np.eye(2))
+    assert 0 <= score[0] <= 1 and time.time() - start < 60
+
+
 def test_neighbouring_lines_decide(spark):
     """A doubtful line is good among good lines and bad among bad ones."""
     df, labels = labelled(spark)

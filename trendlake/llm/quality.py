@@ -8,16 +8,22 @@ the document's score.
 
 Training: the lines of a document labelled quality 1 (0) are good (bad)
 examples; conditional log-likelihood with an L2 term, maximised in numpy by
-Adam.  Only rows whose crc32(doc_id) mod 5 is not 0 are learned from, of those
-a bounded sample (``n_documents`` of each label, the smallest hashes of the
-id; sequences longer than ``run_lines`` are learned as several).  Line
-features are computed on the executors; the driver gets bounded numbers only.
+Adam.  Only documents that are there, labelled and whose crc32(doc_id) mod 5 is not 0
+are learned from; equal texts count once (good only if every label says so).  Of
+those a bounded sample is taken: ``n_documents`` of each label by the hash of the
+text, and of them as many as have ``n_lines`` lines together (sequences longer
+than ``run_lines`` are learned as several).  Line features are computed on the
+executors; the driver gets at most 2 x n_lines of them.
+
+Long texts: features are made and scored ``LINES_AT_ONCE`` lines at a time, so a
+text costs its lines and two numbers a line; chains of many lines are cut into
+blocks whose transfer matrices are taken together (``crf.long_marginals``).
 
 Defined cases: null and empty texts have no lines and score 0; blank lines are
 lines of length 0 (no weight, but they pass the chain on); a training set
 with one label only, or none, gives 0.5 for every text with lines; repeated
-rows get equal scores; several label rows of a document: the lowest counts;
-other columns are not read.
+rows get equal scores; several labels of a document or text: the lowest counts;
+an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -29,13 +35,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlake.llm.common import crc_remainder, ship_code, spread, table
-from trendlake.llm.crf import marginals, train
+from trendlake.llm.common import crc_remainder, discard, ship_code, spread, table, written
+from trendlake.llm.crf import long_marginals, marginals, train
 from trendlake.llm.rules import STOP_WORDS
 
 MODULUS = 5
 THRESHOLD = 0.3
-N_DOCUMENTS, RUN_LINES = 2500, 64
+N_DOCUMENTS, N_LINES, RUN_LINES = 2500, 100_000, 64
+LINES_AT_ONCE = 20_000
+LONG_CHAIN = 4096
 _UPPER = bytes(range(65, 91))
 _DIGITS = b"0123456789"
 _SYMBOLS = b"#*$%&|<>"
@@ -46,12 +54,11 @@ N_NEXT = 7  # the first of a line's own features, also taken from its neighbours
 N_FEATURES = N_OWN + 2 * N_NEXT + 3
 
 
-def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(features, lengths in code points) of the ``\\n``-split lines."""
-    if not text:
-        return np.zeros((0, N_FEATURES), np.float32), np.zeros(0)
-    own, lengths, seen = [], [], set()
-    for line in text.split("\n"):
+def own_features(lines: list[str], seen: set) -> tuple[list, list]:
+    """(features, lengths in code points) of each line by itself; ``seen`` holds
+    the lines of the text before them and is added to."""
+    own, lengths = [], []
+    for line in lines:
         b = line.encode("utf-8", "surrogatepass")
         n, words = len(b), b.split()
         k = len(words)
@@ -71,62 +78,112 @@ def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
             1.0 if b.rstrip()[-1:] in (b".", b"!", b"?", b":", b'"') else 0.0))
         seen.add(line)
         lengths.append(len(line))
-    a = np.array(own, np.float32)
+    return own, lengths
+
+
+def _beside(a: np.ndarray, before, after) -> np.ndarray:
+    """All features of consecutive lines from their own; ``before`` and ``after``
+    are those of the lines around them (None at the ends of the text)."""
     x = np.zeros((len(a), N_FEATURES), np.float32)
     x[:, :N_OWN] = a
     x[1:, N_OWN:N_OWN + N_NEXT] = a[:-1, :N_NEXT]
     x[:-1, N_OWN + N_NEXT:N_OWN + 2 * N_NEXT] = a[1:, :N_NEXT]
-    x[0, -3] = 1.0
-    x[-1, -2] = 1.0
+    if before is None:
+        x[0, -3] = 1.0
+    else:
+        x[0, N_OWN:N_OWN + N_NEXT] = before[:N_NEXT]
+    if after is None:
+        x[-1, -2] = 1.0
+    else:
+        x[-1, N_OWN + N_NEXT:N_OWN + 2 * N_NEXT] = after[:N_NEXT]
     x[:, -1] = 1.0
-    return np.minimum(x, 5.0), np.array(lengths, np.float64)
+    return np.minimum(x, 5.0)
+
+
+def line_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(features, lengths in code points) of the ``\\n``-split lines."""
+    if not text:
+        return np.zeros((0, N_FEATURES), np.float32), np.zeros(0)
+    own, lengths = own_features(text.split("\n"), set())
+    return _beside(np.array(own, np.float32), None, None), np.array(lengths, np.float64)
+
+
+def line_states(text: str | None, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores of the two labels, lengths) per line, features only of
+    ``LINES_AT_ONCE`` lines at a time."""
+    lines = text.split("\n") if text else []
+    if len(lines) <= LINES_AT_ONCE:
+        x, lengths = line_features(text)
+        return x.astype(np.float64) @ weights, lengths
+    seen, states, sizes = set(), [], []
+    before, now = None, own_features(lines[:LINES_AT_ONCE], seen)
+    for at in range(LINES_AT_ONCE, len(lines) + LINES_AT_ONCE, LINES_AT_ONCE):
+        coming = own_features(lines[at:at + LINES_AT_ONCE], seen)
+        x = _beside(np.array(now[0], np.float32), before, np.array(coming[0][0], np.float32) if coming[0] else None)
+        states.append(x.astype(np.float64) @ weights)
+        sizes.append(np.array(now[1], np.float64))
+        if not coming[0]:
+            break
+        before, now = np.array(now[0][-1], np.float32), coming
+    return np.concatenate(states), np.concatenate(sizes)
 
 
 def document_scores(texts, weights: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """Length-weighted mean of P(good) over the lines of each text."""
-    found = [line_features(t) for t in texts]
-    starts = np.concatenate([[0], np.cumsum([len(f[0]) for f in found])]).astype(np.int64)
-    if starts[-1] == 0:
-        return np.zeros(len(found))
-    x = np.concatenate([f[0] for f in found]).astype(np.float64)
-    lengths = np.concatenate([f[1] for f in found])
-    _, node, _ = marginals(x @ weights, starts, trans)
+    found = [line_states(t, weights) for t in texts]
+    out = np.zeros(len(found))
+    mean = lambda size, good: np.round(np.clip(np.where(size > 0, good / np.maximum(size, 1e-12), 0.0), 0.0, 1.0), 9)
+    for i, (state, lengths) in enumerate(found):
+        if len(state) > LONG_CHAIN:
+            good = long_marginals(state, trans)[:, 1]
+            out[i] = mean(lengths.sum(), (lengths * good).sum())
+    short = [i for i, (state, _) in enumerate(found) if 0 < len(state) <= LONG_CHAIN]
+    if not short:
+        return out
+    starts = np.concatenate([[0], np.cumsum([len(found[i][1]) for i in short])]).astype(np.int64)
+    lengths = np.concatenate([found[i][1] for i in short])
+    _, node, _ = marginals(np.concatenate([found[i][0] for i in short]), starts, trans)
     # Sums per text (not differences of running sums), so that equal texts score alike.
-    some = np.flatnonzero(np.diff(starts))
-    size, good = np.zeros(len(found)), np.zeros(len(found))
-    size[some] = np.add.reduceat(lengths, starts[some])
-    good[some] = np.add.reduceat(lengths * node[:, 1], starts[some])
-    return np.round(np.clip(np.where(size > 0, good / np.maximum(size, 1e-12), 0.0), 0.0, 1.0), 9)
+    out[short] = mean(np.add.reduceat(lengths, starts[:-1]), np.add.reduceat(lengths * node[:, 1], starts[:-1]))
+    return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, n_documents: int = N_DOCUMENTS) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, n_documents: int = N_DOCUMENTS, n_lines: int = N_LINES) -> tuple[np.ndarray, np.ndarray]:
     """CRF parameters from the learnable rows of ``docs`` (doc_id, text) and
     ``labels`` (doc_id, quality)."""
     spark = docs.sparkSession
     ship_code(spark)
     known = (labels.where((crc_remainder("doc_id", MODULUS) != 0) & F.col("quality").isNotNull())
              .groupBy("doc_id").agg(F.min("quality").alias("y")))
-    by_hash = [F.xxhash64("doc_id", F.lit(23)), F.col("doc_id")]
+    # joined before the sample is taken, so that labels of absent documents do not use it up
+    lines_of = F.size(F.split("text", "\n", -1))
+    texts = (docs.where("text <> ''").select("doc_id", F.xxhash64("text").alias("t"), lines_of.alias("n")).join(known, "doc_id")
+             .groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.min("y").alias("y"), F.max("n").alias("n")))
+    texts = written(texts, "quality-texts")
     chosen = []
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(*by_hash).limit(n_documents)
-        chosen += [(r[0], y) for r in part.select("doc_id").collect()]
-    if not chosen:
+        room = n_lines
+        part = texts.where(F.col("y") == y).orderBy(F.xxhash64("t", F.lit(23)), "t").limit(n_documents)
+        for r in part.collect():
+            if r["n"] <= room:
+                room -= r["n"]
+                chosen.append((r["t"], r["doc_id"], y))
+    discard(texts)
+    if len({y for _, _, y in chosen}) < 2:
         return np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    ids = spark.createDataFrame(sorted(chosen), "doc_id long, y int")
+    ids = spark.createDataFrame(sorted(chosen), "t long, doc_id long, y int")
 
     def lines(batches):
         from trendlake.llm import quality
         for pdf in batches:
             x = [quality.line_features(t)[0] for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": [a.ravel().tolist() for a in x]})
+            yield pd.DataFrame({"t": pdf["t"], "y": pdf["y"], "x": [a.ravel().tolist() for a in x]})
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
-    rows = sample.mapInPandas(lines, "doc_id long, y int, x array<float>").collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    chains = [(np.array(r["x"], np.float32).reshape(-1, N_FEATURES), r["y"]) for r in rows if r["x"]]
-    if len({y for _, y in chains}) < 2:
-        return np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
+    sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.xxhash64("text") == F.col("t"))
+              .dropDuplicates(["t"]))
+    rows = sample.mapInPandas(lines, "t long, y int, x array<float>").collect()
+    rows.sort(key=lambda r: r["t"])
+    chains = [(np.array(r["x"], np.float32).reshape(-1, N_FEATURES), r["y"]) for r in rows]
     return train(chains, run_items=RUN_LINES)
 
 
