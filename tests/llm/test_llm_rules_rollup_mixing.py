@@ -62,14 +62,30 @@ def test_rollup_signed_changes_and_idempotence(spark, tmp_path):
     assert not r.commit("two", second) and not r.commit("one", first)
     assert r.commit("nothing", change().limit(0)) and total() == expected
     # a torn attempt (no _SUCCESS) is neither read nor in the way
-    (tmp_path / "r" / "commits" / "b000000003=three").mkdir()
-    assert total() == expected and r.commit("three", change((4, "b", "en", "u", "delete", 0)))
+    (tmp_path / "r" / "log" / "v-000000000002").mkdir()
+    assert total() == expected and r.commit("2026/03 = three", change((4, "b", "en", "u", "delete", 0)))
     assert total() == plain([("a", "en", "t", 1, 12), ("b", "en", "t", 2, 6)])
+    assert not r.commit("2026/03 = three", second) and r.batches() == ["one", "two", "2026/03 = three"]
     # totals always equal a recount of the state
     state = r.state().groupBy("source", "lang", "tokenizer").agg(F.count("*"), F.sum("n_tokens"))
     assert plain(state.collect()) == total()
 
 
+def test_a_commit_reads_and_writes_the_files_of_its_keys(spark, tmp_path):
+    r = rollup.TokenRollup(spark, str(tmp_path / "r"), file_rows=50, filter_bits=1 << 18)
+    load = spark.range(2000).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", "'en' AS lang", "'t' AS tokenizer",
+                                        "'insert' AS op", "id % 11 AS n_tokens")
+    r.commit("load", load)
+    before = {f.file for f in r.table.files().collect()}
+    r.commit("some", load.where("doc_id BETWEEN 500 AND 510").selectExpr("doc_id", "'moved' AS source", "lang", "tokenizer",
+                                                                       "'revise' AS op", "100 AS n_tokens"))
+    after = {f.file for f in r.table.files().collect()}
+    assert len(before) >= 40 and len(before - after) <= 2
+    state = r.state().groupBy("source", "lang", "tokenizer").agg(F.count("*"), F.sum("n_tokens"))
+    assert plain(state.collect()) == plain(r.totals().collect())
+    assert ("moved", "en", "t", 11, 1100) in plain(r.totals().collect())
+
+
 def water(sizes, weights=(1, 2, 3), cap=3):
     """Targets by repeated resharing, as the contract words it."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))

@@ -1,34 +1,34 @@
 """Token counts as delta-maintained rollups.
 
-A rollup lives in a folder (shared storage) with one sub-folder per committed
-batch.  A batch is a DataFrame of changes
+A rollup is a keyed table (``sources.keyed``) of the current count per (doc_id,
+tokenizer), which keeps up totals by (source, lang, tokenizer).  A batch is a
+DataFrame of changes
 
     doc_id, source, lang, tokenizer, op ('insert' | 'delete' | 'revise'),
     n_tokens (insert: the count; revise: the new count; delete: ignored)
 
-``commit`` turns it into signed deltas against the documents' current counts
-and writes them; totals by (source, lang, tokenizer) are sums of the signed
-deltas and never recounted from texts.
+``commit`` writes the new state of the changed keys, finds what they counted before
+in the files that hold them, and adds the signed deltas (minus the old count in
+its old cell, plus the new one in its new cell) to the stored totals; neither
+texts nor other keys are counted again.  State, totals and the batch's id become
+visible together, in one version.
 
-* ``commits/batch=<id>/part-*``: one row per changed (doc_id, tokenizer):
-  the signed deltas and the state after the change.  The batch is committed
-  when Spark's ``_SUCCESS`` marker is there, which the file committer writes
-  last; a folder without it is a torn attempt and is overwritten.
-* Idempotence: committing a batch id that is already committed changes
-  nothing.  Within a batch the changes of one (doc_id, tokenizer) collapse to
-  one: the largest by (n_tokens, op, source, lang) order, delete winning last.
+* Idempotence: committing a batch id that a version holds changes nothing; a
+  torn attempt is never read and the next one starts afresh.  Any text is a batch id.
+* Within a batch the changes of one (doc_id, tokenizer) collapse to one: the
+  largest by (n_tokens, op, source, lang) order, delete winning last.
 
 Rules: an insert of a document that is present counts as a revision; a revise
-of an absent one as an insert; a delete of an absent one as nothing.  A change
-of source or language moves the count (minus at the old cell, plus at the new
-one).  Nulls in doc_id, source, lang or tokenizer are values of their own; a
-null n_tokens is 0.  Empty batches commit an empty folder.  Extra columns are
-ignored.
-
-Scale: state rows are (key, counts) only; a commit aggregates the changes by
-key (partial aggregates, a key has few rows), joins them with the state of the
-same keys and appends; totals are a partial aggregate, so a source with a
-third of the rows costs one row per task.
+of an absent one as an insert; a delete of an absent one as nothing (deleted keys
+stay in the state as rows that count nothing).  A change of source or language
+moves the count.  Nulls in doc_id, source, lang or tokenizer are values of their
+own; a null n_tokens is 0.  Empty batches change nothing.  Extra columns are
+ignored, whatever their names; texts of any length are counted by the caller.
+
+Scale: state rows are (key, counts) only, sorted by doc_id; a commit aggregates the
+changes by key (partial aggregates, a key has few rows) and reads and rewrites
+the files that hold one of its keys; totals are small (one row per cell), and a
+source with a third of the rows costs one row per task.
 """
 
 from __future__ import annotations
@@ -37,83 +37,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake.llm.common import scratch_path, table, word_count
+from trendlake.operators.totals import Totals
+from trendlake.sources.keyed import KeyedTable
 
-KEY = ("doc_id", "tokenizer")
 CELL = ("source", "lang", "tokenizer")
-COMMIT_SCHEMA = ("doc_id long, tokenizer string, old_source string, old_lang string, old_tokens long, "
-                 "source string, lang string, n_tokens long, seq long")
+CELLS = Totals("cells", {"source": "source", "lang": "lang", "tokenizer": "key.tokenizer"},
+               {"n_docs": "CAST(present AS BIGINT)", "n_tokens": "n_tokens"})
+# Letters, marks and digits of every script.
+PIECE_PATTERN = r"[\p{L}\p{M}\p{N}]+"
 
 
 class TokenRollup:
     """Totals of documents and tokens per (source, lang, tokenizer)."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+    def __init__(self, spark: SparkSession, path: str, **layout):
+        self.table = KeyedTable(spark, path, "key", totals=[CELLS], **layout)
+        self.spark = spark
 
     def batches(self) -> list[str]:
         """Ids of the committed batches in commit order."""
-        fs, p = self._fs(f"{self.path}/commits")
-        if not fs.exists(p):
-            return []
-        done = []
-        for st in fs.listStatus(p):
-            _, marker = self._fs(st.getPath().toString() + "/_SUCCESS")
-            if fs.exists(marker):
-                seq, _, batch = st.getPath().getName().partition("=")
-                done.append((int(seq[1:]), batch))
-        return [b for _, b in sorted(done)]
-
-    def changes(self) -> DataFrame:
-        """All committed rows."""
-        ids = self.batches()
-        if not ids:
-            return self.spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in
-                                                (x.split() for x in COMMIT_SCHEMA.split(", "))])
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(
-            *[f"{self.path}/commits/b{i:09d}={b}" for i, b in enumerate(ids)])
-
-    def state(self) -> DataFrame:
-        """Current count per (doc_id, tokenizer): the row of the last batch."""
-        last = F.max_by(F.struct("source", "lang", "n_tokens"), F.col("seq")).alias("now")
-        return (self.changes().groupBy(*KEY).agg(last).where("now.n_tokens is not null")
-                .select(*KEY, "now.source", "now.lang", "now.n_tokens"))
+        facts = self.table.facts()
+        return list(facts["epochs"]) if facts else []
+
+    def state(self) -> DataFrame | None:
+        """Current count per (doc_id, tokenizer)."""
+        rows = self.table.read()
+        return rows if rows is None else rows.where("present").select("key.*", "source", "lang", "n_tokens")
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Apply a batch; False (and no effect) when it is already committed."""
-        known = self.batches()
-        if batch_id in known:
+        if batch_id in self.batches():
             return False
         rank = F.struct((F.col("op") == "delete").alias("gone"),
                         F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"), "op", "source", "lang")
-        new = changes.groupBy(*KEY).agg(F.max(rank).alias("c"))
-        new = new.select(*[F.col(k).alias("new_" + k) for k in KEY], "c.*")
-        old = self.state().select(*KEY, F.col("source").alias("old_source"), F.col("lang").alias("old_lang"),
-                                  F.col("n_tokens").alias("old_tokens"))
-        joined = new.join(old, [F.col("new_" + k).eqNullSafe(F.col(k)) for k in KEY], "left")
-        out = joined.where("not gone or old_tokens is not null").select(
-            F.col("new_doc_id").cast("long").alias("doc_id"), F.col("new_tokenizer").alias("tokenizer"),
-            "old_source", "old_lang", "old_tokens",
-            F.when(~F.col("gone"), F.col("source")).alias("source"),
-            F.when(~F.col("gone"), F.col("lang")).alias("lang"),
-            F.when(~F.col("gone"), F.col("n_tokens")).alias("n_tokens"), F.lit(len(known)).cast("long").alias("seq"))
-        out.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/commits/b{len(known):09d}={batch_id}")
+        key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("tokenizer"))
+        new = changes.groupBy(key.alias("key")).agg(F.max(rank).alias("c"))
+        there = ~F.col("c.gone")
+        new = new.select("key", F.when(there, F.col("c.source")).alias("source"), F.when(there, F.col("c.lang")).alias("lang"),
+                         F.when(there, F.col("c.n_tokens")).otherwise(0).alias("n_tokens"), there.alias("present"))
+        self.table.upsert(new, None, batch_id, 0)
         return True
 
     def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens: sums of the signed deltas."""
-        c = self.changes()
-        minus = c.where("old_tokens is not null").select(
-            F.col("old_source").alias("source"), F.col("old_lang").alias("lang"), "tokenizer",
-            F.lit(-1).cast("long").alias("d"), (-F.col("old_tokens")).alias("t"))
-        plus = c.where("n_tokens is not null").select("source", "lang", "tokenizer",
-                                                      F.lit(1).cast("long").alias("d"), F.col("n_tokens").alias("t"))
-        return (minus.unionByName(plus).groupBy(*CELL).agg(F.sum("d").alias("n_docs"), F.sum("t").alias("n_tokens"))
-                .where("n_docs <> 0 or n_tokens <> 0"))
+        """source, lang, tokenizer, n_docs, n_tokens: the stored totals."""
+        found = self.table.read_totals(CELLS.name)
+        if found is None:
+            return self.spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs long, n_tokens long")
+        return found.where("n_docs <> 0 or n_tokens <> 0").select(*CELL, "n_docs", "n_tokens")
 
 
 def first_lines(text):
@@ -124,14 +94,14 @@ def first_lines(text):
 def op3_token_rollup(spark, sf_dir):
     """Totals over ``documents`` after a history of four batches: every
     document inserted under two tokenizer versions (words-1: words;
-    pieces-1: runs of letters and digits); documents labelled low quality or
+    pieces-1: runs of letters, marks and digits of any script); documents labelled low quality or
     toxic deleted; documents with repeated lines revised to the count without
     the repeats (words-1); and replays of all of them, which change nothing."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     rollup = TokenRollup(spark, scratch_path(spark, "rollup"))
     words = word_count(F.col("text"))
-    pieces = F.coalesce(F.regexp_count("text", F.lit("[A-Za-z0-9]+")), F.lit(0)).cast("long")
+    pieces = F.coalesce(F.regexp_count("text", F.lit(PIECE_PATTERN)), F.lit(0)).cast("long")
     counts = docs.select("doc_id", "source", "lang", F.inline(F.array(
         F.struct(F.lit("words-1").alias("tokenizer"), words.alias("n_tokens")),
         F.struct(F.lit("pieces-1").alias("tokenizer"), pieces.alias("n_tokens")))))
@@ -164,7 +134,7 @@ revised AS (SELECT doc_id, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')
 c AS (
   SELECT source, lang, 'words-1' AS tokenizer, coalesce(n, 0) AS n FROM good LEFT JOIN revised USING (doc_id)
   UNION ALL
-  SELECT source, lang, 'pieces-1', coalesce(len(regexp_extract_all(text, '[A-Za-z0-9]+')), 0) FROM good)
+  SELECT source, lang, 'pieces-1', coalesce(len(regexp_extract_all(text, '[\p{L}\p{M}\p{N}]+')), 0) FROM good)
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM c GROUP BY source, lang, tokenizer
 """
