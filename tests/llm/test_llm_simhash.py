@@ -102,3 +102,10 @@ def test_components_of_paths_stars_and_cycles(spark):
 def test_native_hash_agrees(spark):
     t = "the quick brown fox"
     assert spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] % (1 << 64) == xxhash.xxh64_intdigest(t.encode(), 42)
+
+
+def test_an_unfinished_contraction_is_an_error(spark):
+    path = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+    with pytest.raises(RuntimeError):
+        simhash.components(path, max_rounds=2)
+    assert {r.root for r in simhash.components(path).collect()} == {0}

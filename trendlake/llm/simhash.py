@@ -41,6 +41,8 @@ none); an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -259,16 +261,19 @@ def link_fingerprints(classes: DataFrame, max_bits: int = MAX_BITS, leaf_rows: i
 
 # --- connected components ------------------------------------------------
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b longs): root is the
     smallest node of its component.  Alternating star contraction: after a
     large star every node points at the smallest neighbour of its neighbours,
-    after a small star every node at its smallest; O(log n) rounds."""
+    after a small star every node at its smallest; O(log n) rounds, until
+    nothing changes.  With ``max_rounds`` an unfinished contraction is an error."""
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = e.checkpoint()
     state = None
-    for _ in range(max_rounds):
+    for done in itertools.count():
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"components are not stable after {max_rounds} rounds")
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
