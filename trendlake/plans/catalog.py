@@ -383,8 +383,7 @@ def q_text_clusters(spark, d):
 
 
 def q_embedding_clusters(spark, d):
-    feats = cl.embedding_features(table(spark, d, "embeddings"), "embedding")
-    out = cl.cluster(feats, seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
+    out = cl.cluster(table(spark, d, "embeddings"), "embedding", seed=CLUSTER_SEED, restarts=CLUSTER_RESTARTS)
     return cl.cluster_projection(out, EMBEDDINGS)
 
 

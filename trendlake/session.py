@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "trendlake",
@@ -84,3 +84,10 @@ def broadcast_threshold(spark: SparkSession) -> int:
         return 10 << 20
     return int(float(m.group(1)) * _BYTE_UNITS[m.group(2)])
 
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin over the task slots when the input has fewer partitions than
+    slots (one small file); larger inputs keep their scan splits.  Only for
+    row-wise work, whose results do not depend on the layout."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
