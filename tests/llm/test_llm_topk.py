@@ -10,17 +10,13 @@ SCHEMA = "vec_id long, embedding array<double>, label string, norm string, v str
 
 
 def brute(rows, k, every):
-    best = {}
-    for i, v, *_ in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        if i not in best or list(v) < best[i]:
-            best[i] = list(v)
-    ints = {i: [int(np.floor(256 * x)) for x in v] for i, v in best.items()}
+    ints = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, *_ in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted(ints):
+    for at, (q, vector) in enumerate(ints):
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(ints[q], c)), i) for i, c in ints.items() if i != q)[:k]
+            scored = sorted((-sum(a * b for a, b in zip(vector, c)), i)
+                            for n, (i, c) in enumerate(ints) if n != at)[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return out
 
@@ -42,10 +38,17 @@ def test_top_k(spark, monkeypatch, case):
         tail = ("l", "n", "v", "b")
         rows += [(None, [1.0] * 12, *tail), (1000, None, *tail), (1001, [None] + [1.0] * 11, *tail),
                  (1002, [float("nan")] * 12, *tail), (1003, [float("inf")] + [0.0] * 11, *tail), (1010, [], *tail),
-                 (1020, [0.0] * 12, *tail), (1030, [2.0], *tail), rows[10], (11, [9.0] * 12, *tail), (-20, [-3.0] * 12, *tail)]
+                 (1020, [0.0] * 12, *tail), (1030, [2.0], *tail), rows[10], rows[11], (20, [1.0] * 12, *tail), (11, [9.0] * 12, *tail), (-20, [-3.0] * 12, *tail)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = topk.top_k(df, F.col("id") % 10 == 0, 5)
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 5, 10)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(rows, 5, 10))
+
+
+def test_rows_of_a_repeated_id_all_count(spark):
+    rows = [(i, v, "", "", "", "") for i, v in [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (51, [2.0, 0.0]), (51, [3.0, 1.0]),
+                                                (50, [1.0, 0.0]), (7, [2.0, 0.0])]]
+    got = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("id") % 50 == 0, 5).collect()
+    assert len(got) == 15 and sorted(tuple(r) for r in got) == sorted(brute(rows, 5, 50))
 
 
 def test_few_or_no_candidates(spark):
@@ -65,7 +68,7 @@ def test_blocks_are_pruned(spark):
     real = topk.exact_products
     try:
         topk.exact_products = lambda a, b: (seen.append(a.shape[0] * b.shape[0]), real(a, b))[1]
-        rows, scores, found = topk.block_top(np.arange(-20, 0), q, np.full(20, -np.inf), ids, c, np.linalg.qr(
+        rows, scores, found = topk.block_top(np.arange(-20, 0), q, np.full(20, -np.inf), ids, ids, c, np.linalg.qr(
             rng.normal(size=(16, 16)))[0])
     finally:
         topk.exact_products = real

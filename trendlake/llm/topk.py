@@ -16,9 +16,11 @@ few block pairs that cannot matter are formed; a task holds one block of queries
 
 Defined cases: vectors that are null or hold null, NaN or infinite components
 and rows with a null vec_id take no part; vectors of different lengths are
-compared with zeros appended to the shorter; rows that repeat a vec_id count
-once, as the smallest vector; a query's own vec_id is no candidate for it; all
-scores tie towards the smaller vec_id; scores beyond a long are cut to its
+compared with zeros appended to the shorter (one very long vector sets the width,
+and the rotation is width x width on the driver); rows that repeat a vec_id, equal
+ones included, are rows of their own: each is a candidate and, if it is a query,
+answered apart, with only itself left out (query_id and rank then repeat); all
+scores tie towards the smaller vec_id; extra columns are not read; scores beyond a long are cut to its
 ends; empty tables give an empty result.
 """
 
@@ -64,16 +66,18 @@ def best_of(rows, scores, ids, k: int):
     return rows[keep], scores[keep], ids[keep]
 
 
-def block_top(q_ids, q, limits, c_ids, c, rotation, k: int = K, lead: int | None = None, slice_rows: int = SLICE):
+def block_top(q_uids, q, limits, c_uids, c_ids, c, rotation, k: int = K, lead: int | None = None,
+              slice_rows: int = SLICE):
     """Top-k candidates of one block for each query, given lower limits of the
-    queries' k-th scores: (query row, score, candidate id)."""
+    queries' k-th scores: (query row, score, candidate id).  The uids tell rows
+    apart: a query skips the candidate of its own uid."""
     lead = lead or max(1, q.shape[1] // 4)
     qr, cr = q @ rotation, c @ rotation
     rest = lambda x: np.sqrt((x[:, lead:] ** 2).sum(1))
     norm = lambda x: np.sqrt((x ** 2).sum(1))
     q_rest, q_norm, c_norm = rest(qr), norm(q), norm(c)
     order = np.argsort(-c_norm, kind="stable")
-    c, cr, c_ids, c_norm = c[order], cr[order], c_ids[order], c_norm[order]
+    c, cr, c_uids, c_ids, c_norm = c[order], cr[order], c_uids[order], c_ids[order], c_norm[order]
     c_rest = rest(cr)
     limits = limits.astype(np.float64).copy()
     rows, scores, ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -84,7 +88,7 @@ def block_top(q_ids, q, limits, c_ids, c, rotation, k: int = K, lead: int | None
         if not len(live):
             break
         bound = qr[live, :lead] @ cr[s, :lead].T + q_rest[live, None] * c_rest[None, s]
-        maybe = (bound + slack[live, None] >= limits[live, None]) & (q_ids[live, None] != c_ids[None, s])
+        maybe = (bound + slack[live, None] >= limits[live, None]) & (q_uids[live, None] != c_uids[None, s])
         hit = maybe.any(1)
         live, maybe = live[hit], maybe[hit]
         cols = np.flatnonzero(maybe.any(0))
@@ -102,11 +106,11 @@ def block_top(q_ids, q, limits, c_ids, c, rotation, k: int = K, lead: int | None
 
 
 def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id, v (array<double>): one row per id, without vectors that take no part."""
+    """id, v (array<double>): every row whose vector takes part."""
     v = F.col(vector_col).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     return (vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
-            .select(F.col(id_col).alias("id"), v.alias("v")).groupBy("id").agg(F.min("v").alias("v")))
+            .select(F.col(id_col).alias("id"), v.alias("v")))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -118,10 +122,10 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x * 256).cast("double") * F.floor(x * 256).cast("double"))
     v = v.withColumn("norm", F.sqrt(square))
     # Blocks of candidates by descending length: range partitions, rows in order, fixed by the write.
-    order = [F.desc("norm"), F.xxhash64("id"), F.col("id")]
+    order = [F.desc("norm"), F.xxhash64("id"), F.col("id"), F.col("v")]
     at = F.monotonically_increasing_id()
     cand = written(v.repartitionByRange(*order).sortWithinPartitions(*order)
-                   .withColumn("block", F.shiftright(at, 33) * (1 << 21)
+                   .withColumn("uid", at).withColumn("block", F.shiftright(at, 33) * (1 << 21)
                                + F.floor(at.bitwiseAND((1 << 33) - 1) / CANDIDATE_BLOCK)), "topk-candidates")
     blocks = cand.groupBy("block").agg(F.max("norm").alias("longest"), F.max(F.size("v")).alias("dim")).collect()
     empty = "query_id long, rank int, vec_id long, score long"
@@ -131,7 +135,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     by_length = sorted(((b["longest"], b["block"]) for b in blocks), key=lambda x: (-x[0], x[1]))
     longest, names = np.array([b[0] for b in by_length]), np.array([b[1] for b in by_length])
     seed_rows = cand.orderBy(F.desc("norm"), "id").limit(SEEDS).collect()
-    seed_ids, seeds = np.array([r["id"] for r in seed_rows], np.int64), integer_vectors([r["v"] for r in seed_rows], dim)
+    seed_ids, seed_uids = (np.array([r[c] for r in seed_rows], np.int64) for c in ("id", "uid"))
+    seeds = integer_vectors([r["v"] for r in seed_rows], dim)
     sample = cand.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).collect()
     sample = integer_vectors([r["v"] for r in sample], dim)
     values, axes = np.linalg.eigh(sample.T @ sample / max(1, len(sample)))
@@ -140,9 +145,9 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     def thresholds(batches):
         from trendlake.llm import topk
         for pdf in batches:
-            ids, q = pdf["id"].to_numpy(), topk.integer_vectors(list(pdf["v"]), dim)
+            uids, q = pdf["uid"].to_numpy(), topk.integer_vectors(list(pdf["v"]), dim)
             limits = np.full(len(q), -np.inf)
-            rows, scores, _ = topk.block_top(ids, q, limits, seed_ids, seeds, rotation, k)
+            rows, scores, _ = topk.block_top(uids, q, limits, seed_uids, seed_ids, seeds, rotation, k)
             found, n = np.unique(rows, return_counts=True)
             last = np.cumsum(n) - 1
             limits[found[n == k]] = scores[last[n == k]]
@@ -151,15 +156,16 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
                 need = np.where(norm > 0, limits / norm, -np.inf) * (1 - 1e-9) - 1e-9
             need = np.where(limits < 0, -np.inf, need)
             met = np.searchsorted(-longest, -need, side="right")
-            yield pd.DataFrame({"id": ids, "v": pdf["v"], "lim": limits, "met": met.astype(np.int64)})
+            yield pd.DataFrame({"uid": uids, "id": pdf["id"], "v": pdf["v"], "lim": limits, "met": met.astype(np.int64)})
 
-    queries = cand.where(is_query).select("id", "v").mapInPandas(thresholds, "id long, v array<double>, lim double, met long")
+    queries = cand.where(is_query).select("uid", "id", "v").mapInPandas(
+        thresholds, "uid long, id long, v array<double>, lim double, met long")
     # Blocks of queries that meet about as many blocks (classes of the bit length of ``met``), split by hash.
     queries = written(queries.withColumn("cls", F.length(F.bin("met"))), "topk-queries")
     parts = [(r["cls"], -(-r["n"] // QUERY_BLOCK)) for r in
              queries.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).collect()]
     split = F.coalesce(*[F.when(F.col("cls") == c, F.lit(n)) for c, n in parts], F.lit(1))
-    queries = queries.withColumn("qblock", F.col("cls") * (1 << 40) + F.pmod(F.xxhash64("id"), split)).drop("cls")
+    queries = queries.withColumn("qblock", F.col("cls") * (1 << 40) + F.pmod(F.xxhash64("uid"), split)).drop("cls")
     # Pairs of blocks that can matter: block number i (by length) of the first ``met``.
     number = F.array(*[F.lit(int(b)) for b in names]) if len(names) <= 4096 else None
     meets = queries.groupBy("qblock").agg(F.max("met").alias("met")).where("met > 0").select(
@@ -170,22 +176,22 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
         ranks = spark.createDataFrame([(i, int(b)) for i, b in enumerate(names)], "i long, block long")
         meets = meets.join(ranks, "i")
     meets = meets.select("qblock", "block")
-    left = queries.join(meets, "qblock").select("qblock", "block", "id", "v", "lim")
-    right = cand.join(meets, "block").select(F.col("qblock").alias("qb"), F.col("block").alias("cb"), "id", "v")
+    left = queries.join(meets, "qblock").select("qblock", "block", "uid", "id", "v", "lim")
+    right = cand.join(meets, "block").select(F.col("qblock").alias("qb"), F.col("block").alias("cb"), "uid", "id", "v")
 
     def search(q, c):
         from trendlake.llm import topk
         if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        ids = q["id"].to_numpy()
+            return pd.DataFrame({"uid": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
+        uids = q["uid"].to_numpy()
         rows, scores, found = topk.block_top(
-            ids, topk.integer_vectors(list(q["v"]), dim), q["lim"].to_numpy(), c["id"].to_numpy(),
+            uids, topk.integer_vectors(list(q["v"]), dim), q["lim"].to_numpy(), c["uid"].to_numpy(), c["id"].to_numpy(),
             topk.integer_vectors(list(c["v"]), dim), rotation, k)
-        return pd.DataFrame({"query_id": ids[rows], "vec_id": found, "score": scores})
+        return pd.DataFrame({"uid": uids[rows], "query_id": q["id"].to_numpy()[rows], "vec_id": found, "score": scores})
 
     found = (left.groupBy("qblock", "block").cogroup(right.groupBy("qb", "cb"))
-             .applyInPandas(search, "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInPandas(search, "uid long, query_id long, vec_id long, score long"))
+    best = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -195,12 +201,11 @@ def op9_topk(spark, sf_dir):
 
 
 OP9_SQL = """
-WITH v AS (SELECT vec_id, min([floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding]) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-           GROUP BY vec_id),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.uid <> c.uid),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
