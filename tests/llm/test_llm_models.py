@@ -1,6 +1,7 @@
 """Line CRF, PU toxicity and the page CRF: held-out quality and awkward rows."""
 
 import zlib
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -254,3 +255,71 @@ def test_head_without_end_tag_hides_no_text(start):
     assert [b.text for b in html.blocks_of(PAGE.replace("</head>", ""))] == [b.text for b in html.blocks_of(PAGE)]
     assert [b.text for b in html.blocks_of(f"<head><noscript>no{'<body>'}Text")] == ["Text"]
     assert html.blocks_of(head) == html.blocks_of("<head><noframes>no</noframes><title>no") == []
+
+
+def pu_risk(w, xp, xu, prior):
+    """(positive part, corrected negative part) of the sigmoid-loss risk, row by row."""
+    loss = lambda x, y: 1 / (1 + np.exp(y * float(x @ w)))
+    mean = lambda rows, y: sum(loss(x, y) for x in rows) / len(rows)
+    return prior * mean(xp, 1), mean(xu, -1) - prior * mean(xp, -1)
+
+
+def test_pu_step_is_the_gradient_of_the_risk():
+    """Central differences of the risk, and of its negative part once that is below zero."""
+    rng = np.random.default_rng(8)
+    signs = set()
+    for scale in (0.1, 1.0, 3.0):
+        for shift in (-2.0, 0.0, 2.0):
+            xp, xu = rng.normal(size=(7, 4)) + shift, rng.normal(size=(11, 4)) - shift
+            w, prior = rng.normal(size=4) * scale, 0.6
+            below = pu_risk(w, xp, xu, prior)[1] < 0
+            signs.add(below)
+            part = (lambda v: -pu_risk(v, xp, xu, prior)[1]) if below else (lambda v: sum(pu_risk(v, xp, xu, prior)))
+            slope = [(part(w + d) - part(w - d)) / 2e-6 for d in np.eye(4) * 1e-6]
+            assert np.allclose(toxicity.step_of(w, xp, xu, prior), slope, atol=1e-8)
+    assert signs == {True, False}
+
+
+def plain_toxicity(texts, labels, n_features):
+    """The model from plain Python sets: every learnable distinct text counts."""
+    toxic = {}
+    for i, t in labels:
+        if t is not None and i is not None:
+            toxic[i] = max(t, toxic.get(i, 0))
+    seen = {}
+    for i, text in texts:
+        if i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            seen.setdefault(text, []).append(toxic.get(i))
+    known = {t: [x for x in v if x is not None] for t, v in seen.items()}
+    pos = [t for t, v in known.items() if v and max(v)]
+    prior = len(pos) / sum(bool(v) for v in known.values())
+    count = lambda some: Counter(f for t in some for f in toxicity.features_of(t))
+    p, u = count(pos), count(seen)
+    a, b, z = len(pos), len(seen), {}
+    for f, n in p.items():
+        if n >= max(toxicity.MIN_POSITIVE, toxicity.MIN_POSITIVE_SHARE * a):
+            share = (n + u[f]) / (a + b)
+            z[f] = abs(n / a - u[f] / b) / (share * (1 - share) * (1 / a + 1 / b) + 1e-12) ** 0.5
+    names = sorted((f for f in z if z[f] >= toxicity.MIN_Z), key=lambda f: (-z[f], f))[:n_features]
+    at = {f: i for i, f in enumerate(names)}
+    rows = lambda some: [np.array(sorted(at[f] for f in toxicity.features_of(t) if f in at), np.int64) for t in some]
+    w, bias = toxicity.train(rows(pos), rows(seen), len(names), prior)
+    return lambda t: 1 / (1 + np.exp(-np.clip(bias + sum(w[at[f]] for f in toxicity.features_of(t) if f in at), -40, 40)))
+
+
+def test_toxicity_equals_plain_python(spark):
+    df = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").select("doc_id", "toxic")
+    score = plain_toxicity([tuple(r) for r in df.collect()], [tuple(r) for r in labels.collect()], 200)
+    model = toxicity.fit(df.repartition(5), labels, n_features=200)
+    assert len(model.weights) > 20
+    for r in toxicity.score(df, model).collect():
+        assert abs(r.score - score(r.text)) < 1e-3
+
+
+def test_frequencies_come_from_all_texts_whatever_the_risk_sample(spark):
+    """A risk sample of 30 texts picks the features of the full counts."""
+    df = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").select("doc_id", "toxic")
+    few, full = (toxicity.fit(df, labels, n_unlabelled=n, n_features=100) for n in (30, 9000))
+    assert set(few.weights) == set(full.weights)
