@@ -257,6 +257,58 @@ def test_head_without_end_tag_hides_no_text(start):
     assert html.blocks_of(head) == html.blocks_of("<head><noframes>no</noframes><title>no") == []
 
 
+SAID = "I am not sure about this at all because the author never says where the numbers come from. " * 6
+PROSE = "The council met on Tuesday to talk about the bridge and the money that it would take to mend it. " * 5
+ITEMS = "<ul><li>New rail</li><li>Old stones kept</li><li>Wider path</li></ul>"
+# Pages laid out unlike any training page: {said} must go, all else that is marked with * stays.
+UNSEEN = [
+    "<header><h2>Daily</h2><p>{said}</p></header><article><h1>*Bridge</h1><p>*{prose}</p>{items}<p>*{prose}</p><div class='comments'>"
+    "<div class='comment'><p>{said}</p></div><div class='comment'><p>{said}</p></div></div><article class='comment'><p>{said}</p></article>"
+    "<div id='disqus_thread'><p>{said}</p></div></article><section id='responses'><p>{said}</p></section><footer>Imprint</footer>",
+    "<body class='has-sidebar comments-open'><nav><a href='x'>Home</a></nav><article class='related-news top'><h1>*Bridge</h1><p>*{prose}</p>"
+    "<blockquote>*{prose}</blockquote><table><tr><td>*Cost</td><td>*12</td></tr></table><aside><p>{said}</p></aside></article>"
+    "<div class='right-rail'><p>{said}</p></div>",
+    "<div class='site-header'><p>{said}</p></div><div id='content'><h1>*Bridge</h1><p>*{prose}</p>{items}<h2>*More</h2><p>*{prose}</p></div>"
+    "<div class='widget-area'><p>{said}</p></div><div class='reader-comments'><ol><li><p>{said}</p></li></ol></div>"
+    "<div class='footer-links'><p>{said}</p></div>",
+    "<div class='topbar'><a href='x'>Home</a></div><div><div class='post'><h2>*Bridge</h2><div class='byline'>*By A. Writer</div><p>*{prose}</p>"
+    "<p>*{prose}</p>{items}</div><section class='discussion'><div class='text'><p>{said}</p></div></section></div>"
+    "<div class='cookie-banner'><p>{said}</p></div>",
+    "<main><h1>*Bridge</h1><p>*{prose}</p><p>*Short.</p><pre>*a b c</pre><p>*{prose}</p><section class='related'>"
+    "<article class='card'><p>{said}</p></article></section></main><form class='signup'><p>{said}</p></form>",
+    "<div class='page with-sidebar'><div class='entry-content'><h1>*Bridge</h1><p>*{prose}</p><p>*{prose}</p></div><aside><p>{said}</p></aside></div>",
+    "<form id='all'><div class='story-body'><h1>*Bridge</h1><p>*{prose}</p><ol><li>*One</li><li>*Two</li></ol><p>*{prose}</p></div>"
+    "<div class='advertisement'><p>{said}</p></div></form>",
+]
+
+
+def test_main_text_of_layouts_that_are_not_trained_on(spark):
+    model = html.fit(spark.read.parquet(f"{SF001}/pages.parquet"))
+    right = kept = due = 0
+    for layout in UNSEEN:
+        page = layout.format(said=SAID, prose=PROSE, items=ITEMS.replace("<li>", "<li>*"))
+        blocks = [b.text for b in html.blocks_of(page)]
+        expected = [t for t in blocks if t.startswith("*")]
+        # The marks are only for the eye: they are cut before the page is read.
+        got = html.main_text(page.replace("*", ""), *model).split("\n")
+        for t in expected:
+            due += 1
+            if t[1:] in got:
+                right += 1
+        kept += len(got)
+        assert SAID.strip() not in got
+    assert right >= 0.95 * due and right >= 0.95 * kept
+
+
+def test_pages_of_very_many_blocks_are_read_but_not_learned_from(spark):
+    many = "<article>" + "<p>word</p>" * (html.N_BLOCKS + 1) + "</article>"
+    pages = spark.createDataFrame([(1, many), (2, PAGE)], "page_id long, html string")
+    one = html.fit(pages.where("page_id = 2"))
+    model = html.fit(pages)
+    assert model[0] == one[0] and np.array_equal(model[1], one[1])
+    assert html.main_text(many, *model).count("\n") == html.N_BLOCKS
+
+
 def pu_risk(w, xp, xu, prior):
     """(positive part, corrected negative part) of the sigmoid-loss risk, row by row."""
     loss = lambda x, y: 1 / (1 + np.exp(y * float(x @ w)))
