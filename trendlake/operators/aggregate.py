@@ -201,8 +201,9 @@ def quantile(df: DataFrame, col: str, q: float, approx: bool = False, accuracy:
     """``q``-quantile of ``col`` as a scalar subquery column.
 
     Exact (``percentile``, linear interpolation between order statistics) by
-    default: it is meant for aggregated tables.  ``approx=True`` switches to
-    ``percentile_approx`` - a bounded-memory sketch for raw-sized inputs.
+    default, for aggregated tables: all distinct values meet in one task.
+    For raw-sized inputs, ``quantile.exact_quantile`` selects the same value in
+    bounded memory, and ``approx=True`` gives a sketch's (``percentile_approx``).
     """
     agg = F.percentile_approx(col, q, accuracy) if approx else F.percentile(col, F.lit(q))
     return df.agg(agg).scalar()

@@ -22,6 +22,7 @@ from trendlake.operators import ingest as ing
 from trendlake.operators import prepare as prep
 from trendlake.operators.features import features
 from trendlake.operators.quality import quality_report
+from trendlake.operators.quantile import exact_quantile
 from trendlake.operators.totals import Totals
 from trendlake.operators.window import yoy_growth
 from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, LINEITEM, ORDERS, PART,
@@ -42,6 +43,7 @@ TOTALS_CATEGORIES = ("Brand#2", "Brand#3", "Brand#4", "Brand#10", "Brand#19")
 FILTER_TAGS = ("red", "blue", "gear", "anvil")
 ANOMALY_Q = 0.9
 ANOMALY_N = 10
+PRICE_QUANTILES = (0.1, 0.5, 0.9, 0.99)
 TOP_TAGS = 10
 FEATURES_AS_OF = "2002-01-01 00:00:00"
 DOC_EXPECTED = ("doc_id", "text", "lang", "source", "quality", "toxic", "url")
@@ -189,6 +191,12 @@ def q_growth_anomalies(spark, d):
     return fc.growth_anomalies(g, ORDERS.category, q=ANOMALY_Q, n=ANOMALY_N)
 
 
+def q_price_quantiles(spark, d):
+    lines = table(spark, d, "lineitem")
+    rows = [(q, exact_quantile(lines, "l_extendedprice", q)) for q in PRICE_QUANTILES]
+    return spark.createDataFrame(rows, "q double, price double").withColumn("price", F.round("price", 4))
+
+
 def q_top10_tags(spark, d):
     return agg.top(part_tag_stats(spark, d), "repo_count", TOP_TAGS, tie_break=["topic"])
 
@@ -426,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "filter_domains": q_filter_domains,
     "growth_pivot": q_growth_pivot,
     "growth_anomalies": q_growth_anomalies,
+    "price_quantiles": q_price_quantiles,
     "leader": q_leader,
     "top10_tags": q_top10_tags,
     "features": q_features,
