@@ -202,7 +202,7 @@ def quantile(df: DataFrame, col: str, q: float, approx: bool = False, accuracy:
 
     Exact (``percentile``, linear interpolation between order statistics) by
     default, for aggregated tables: all distinct values meet in one task.
-    For raw-sized inputs, ``quantile.exact_quantile`` selects the same value in
+    For raw-sized inputs, ``quantile.exact_quantiles`` selects the same value in
     bounded memory, and ``approx=True`` gives a sketch's (``percentile_approx``).
     """
     agg = F.percentile_approx(col, q, accuracy) if approx else F.percentile(col, F.lit(q))

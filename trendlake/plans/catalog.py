@@ -22,7 +22,7 @@ from trendlake.operators import ingest as ing
 from trendlake.operators import prepare as prep
 from trendlake.operators.features import features
 from trendlake.operators.quality import quality_report
-from trendlake.operators.quantile import exact_quantile
+from trendlake.operators.quantile import exact_quantiles
 from trendlake.operators.totals import Totals
 from trendlake.operators.window import yoy_growth
 from trendlake.plans.tables import (DOCUMENTS, EMBEDDINGS, LINEITEM, ORDERS, PART,
@@ -193,7 +193,7 @@ def q_growth_anomalies(spark, d):
 
 def q_price_quantiles(spark, d):
     lines = table(spark, d, "lineitem")
-    rows = [(q, exact_quantile(lines, "l_extendedprice", q)) for q in PRICE_QUANTILES]
+    rows = list(zip(PRICE_QUANTILES, exact_quantiles(lines, "l_extendedprice", PRICE_QUANTILES)))
     return spark.createDataFrame(rows, "q double, price double").withColumn("price", F.round("price", 4))
 
 
