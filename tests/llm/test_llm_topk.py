@@ -51,6 +51,51 @@ def test_rows_of_a_repeated_id_all_count(spark):
     assert len(got) == 15 and sorted(tuple(r) for r in got) == sorted(brute(rows, 5, 50))
 
 
+def test_blocks_meet_in_many_partitions(spark, monkeypatch):
+    """Queries and candidates of a pair of blocks get to the same task when partitions are not merged into one."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(topk, "SEEDS", 16)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(a) for a in v], "l", "n", "v", "b") for i, v in enumerate(rng.normal(size=(600, 6)))]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        got = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("id") % 10 == 0, 5).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(got) == 300 and sorted(tuple(r) for r in got) == sorted(brute(rows, 5, 10))
+
+
+def test_rows_without_an_id_are_candidates(spark, monkeypatch, tmp_path):
+    """No queries, last in ties, null in the result; the query's table, in several blocks."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
+    monkeypatch.setattr(topk, "SEEDS", 16)
+    x = np.round(np.random.default_rng(5).normal(size=(400, 3)), 1).astype(np.float32)
+    x[100:130] = x[100] = [4.0, -4.0, 4.0]
+    ids = [None if i % 7 == 0 else (i * 25) % 2000 - 500 for i in range(400)]
+    rows = [(i, [float(a) for a in v]) for i, v in zip(ids, x)]
+    rows += [(None, None), (None, [None, 9.0, 9.0]), (None, [float("inf"), 9.0, 9.0]), ((1 << 63) - 1, rows[100][1])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    ints = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows if v is not None and all(a is not None and np.isfinite(a) for a in v)]
+    want = []
+    for at, (q, vector) in enumerate(ints):
+        if q is not None and q % 50 == 0:
+            scored = sorted((-int(vector @ c), i is None, i or 0) for n, (i, c) in enumerate(ints) if n != at)[:5]
+            want += [(q, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(scored)]
+    got = topk.op9_topk(spark, str(tmp_path))
+    assert got.columns == ["query_id", "rank", "vec_id", "score"]
+    assert any(r[2] is None for r in want) and sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_only_rows_without_an_id_beside_the_query(spark):
+    rows = [(i, v, "", "", "", "") for i, v in [(50, [1.0]), (None, [2.0]), (None, [2.0]), (None, [-1.0])]]
+    got = topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == [(50, 1, None, 131072), (50, 2, None, 131072), (50, 3, None, -65536)]
+
+
 def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(50, [1.0, 2.0], "", "", "", ""), (51, [3.0, 4.0], "", "", "", "")], SCHEMA)
     got = topk.top_k(df, F.col("id") % 50 == 0).collect()

@@ -15,7 +15,8 @@ Queries are blocked with others that meet about as many candidate blocks, so
 few block pairs that cannot matter are formed; a task holds one block of queries and one of candidates.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components
-and rows with a null vec_id take no part; vectors of different lengths are
+take no part; a row with a null vec_id is no query but a candidate like any other,
+counts after all others in ties and stays null in the result; vectors of different lengths are
 compared with zeros appended to the shorter (one very long vector sets the width,
 and the rotation is width x width on the driver); rows that repeat a vec_id, equal
 ones included, are rows of their own: each is a candidate and, if it is a query,
@@ -106,23 +107,25 @@ def block_top(q_uids, q, limits, c_uids, c_ids, c, rotation, k: int = K, lead: i
 
 
 def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """id, v (array<double>): every row whose vector takes part."""
+    """id, no_id, v (array<double>): every row whose vector takes part; a null id is 0 with ``no_id`` set."""
     v = F.col(vector_col).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return (vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
-            .select(F.col(id_col).alias("id"), v.alias("v")))
+    return (vectors.where(F.col(vector_col).isNotNull() & fine)
+            .select(F.coalesce(F.col(id_col), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("no_id"), v.alias("v")))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, id, score: the k best candidates of every query;
-    ``is_query`` is a Column over ``id``."""
+    """query_id, rank, vec_id, score: the k best candidates of every query;
+    ``is_query`` is a Column over ``id``; rows without an id are no queries."""
     spark = vectors.sparkSession
     ship_code(spark)
     v = clean(vectors, id_col, vector_col)
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x * 256).cast("double") * F.floor(x * 256).cast("double"))
-    v = v.withColumn("norm", F.sqrt(square))
+    # ``place``: spreads equally long rows; the id, or where there is none the place in the input.
+    place = F.when(F.col("no_id"), F.monotonically_increasing_id()).otherwise(F.col("id"))
+    v = v.withColumn("norm", F.sqrt(square)).withColumn("place", place)
     # Blocks of candidates by descending length: range partitions, rows in order, fixed by the write.
-    order = [F.desc("norm"), F.xxhash64("id"), F.col("id"), F.col("v")]
+    order = [F.desc("norm"), F.xxhash64("place"), F.col("id"), F.col("v")]
     at = F.monotonically_increasing_id()
     cand = written(v.repartitionByRange(*order).sortWithinPartitions(*order)
                    .withColumn("uid", at).withColumn("block", F.shiftright(at, 33) * (1 << 21)
@@ -137,7 +140,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     seed_rows = cand.orderBy(F.desc("norm"), "id").limit(SEEDS).collect()
     seed_ids, seed_uids = (np.array([r[c] for r in seed_rows], np.int64) for c in ("id", "uid"))
     seeds = integer_vectors([r["v"] for r in seed_rows], dim)
-    sample = cand.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).collect()
+    sample = cand.orderBy(F.xxhash64("place", F.lit(3)), "id").limit(SAMPLE).collect()
     sample = integer_vectors([r["v"] for r in sample], dim)
     values, axes = np.linalg.eigh(sample.T @ sample / max(1, len(sample)))
     rotation = axes[:, ::-1].copy()
@@ -158,7 +161,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
             met = np.searchsorted(-longest, -need, side="right")
             yield pd.DataFrame({"uid": uids, "id": pdf["id"], "v": pdf["v"], "lim": limits, "met": met.astype(np.int64)})
 
-    queries = cand.where(is_query).select("uid", "id", "v").mapInPandas(
+    queries = cand.where(is_query & ~F.col("no_id")).select("uid", "id", "v").mapInPandas(
         thresholds, "uid long, id long, v array<double>, lim double, met long")
     # Blocks of queries that meet about as many blocks (classes of the bit length of ``met``), split by hash.
     queries = written(queries.withColumn("cls", F.length(F.bin("met"))), "topk-queries")
@@ -167,7 +170,8 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     split = F.coalesce(*[F.when(F.col("cls") == c, F.lit(n)) for c, n in parts], F.lit(1))
     queries = queries.withColumn("qblock", F.col("cls") * (1 << 40) + F.pmod(F.xxhash64("uid"), split)).drop("cls")
     # Pairs of blocks that can matter: block number i (by length) of the first ``met``.
-    number = F.array(*[F.lit(int(b)) for b in names]) if len(names) <= 4096 else None
+    # Both sides of the cogroup need keys of one type: an int and an equal long hash to different partitions.
+    number = F.array(*[F.lit(int(b)).cast("long") for b in names]) if len(names) <= 4096 else None
     meets = queries.groupBy("qblock").agg(F.max("met").alias("met")).where("met > 0").select(
         "qblock", F.explode(F.sequence(F.lit(0).cast("long"), F.col("met") - 1)).alias("i"))
     if number is not None:
@@ -177,23 +181,26 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
         meets = meets.join(ranks, "i")
     meets = meets.select("qblock", "block")
     left = queries.join(meets, "qblock").select("qblock", "block", "uid", "id", "v", "lim")
-    right = cand.join(meets, "block").select(F.col("qblock").alias("qb"), F.col("block").alias("cb"), "uid", "id", "v")
+    right = cand.join(meets, "block").select(F.col("qblock").alias("qb"), F.col("block").alias("cb"), "uid", "id", "no_id", "v")
 
     def search(q, c):
         from trendlake.llm import topk
         if not len(q) or not len(c):
-            return pd.DataFrame({"uid": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
+            none = pd.DataFrame({"uid": [], "query_id": [], "vec_id": [], "no_id": [], "score": []})
+            return none.astype("int64").astype({"no_id": bool})
         uids = q["uid"].to_numpy()
+        c = c.sort_values(["no_id", "id"], kind="stable")  # ties go by the place in this order
         rows, scores, found = topk.block_top(
-            uids, topk.integer_vectors(list(q["v"]), dim), q["lim"].to_numpy(), c["uid"].to_numpy(), c["id"].to_numpy(),
+            uids, topk.integer_vectors(list(q["v"]), dim), q["lim"].to_numpy(), c["uid"].to_numpy(), np.arange(len(c)),
             topk.integer_vectors(list(c["v"]), dim), rotation, k)
-        return pd.DataFrame({"uid": uids[rows], "query_id": q["id"].to_numpy()[rows], "vec_id": found, "score": scores})
+        return pd.DataFrame({"uid": uids[rows], "query_id": q["id"].to_numpy()[rows], "vec_id": c["id"].to_numpy()[found],
+                             "no_id": c["no_id"].to_numpy()[found], "score": scores})
 
     found = (left.groupBy("qblock", "block").cogroup(right.groupBy("qb", "cb"))
-             .applyInPandas(search, "uid long, query_id long, vec_id long, score long"))
-    best = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
+             .applyInPandas(search, "uid long, query_id long, vec_id long, no_id boolean, score long"))
+    best = Window.partitionBy("uid").orderBy(F.desc("score"), "no_id", "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", F.when(~F.col("no_id"), F.col("vec_id")).alias("vec_id"), "score"))
 
 
 def op9_topk(spark, sf_dir):
